@@ -5,7 +5,7 @@ import importlib
 
 from lakeforge.plans.registry import REGISTRY, Query, query
 
-SECTIONS = ("windows",)
+SECTIONS = ("projection", "windows")
 
 
 def load_all() -> dict[str, Query]:
