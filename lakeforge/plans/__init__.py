@@ -5,7 +5,7 @@ import importlib
 
 from lakeforge.plans.registry import REGISTRY, Query, query
 
-SECTIONS = ("projection", "windows")
+SECTIONS = ("projection", "scalars", "nested", "windows")
 
 
 def load_all() -> dict[str, Query]:
