@@ -5,7 +5,7 @@ import importlib
 
 from lakeforge.plans.registry import REGISTRY, Query, query
 
-SECTIONS = ("projection", "scalars", "nested", "windows")
+SECTIONS = ("projection", "scalars", "nested", "nulls", "joins", "windows")
 
 
 def load_all() -> dict[str, Query]:
