@@ -44,3 +44,10 @@ NULL_CUSTOMER_SQL = ("t_nullcust AS (SELECT c_custkey, c_name, c_nationkey, "
                      "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, "
                      "CASE WHEN c_custkey % 20 = 5 THEN NULL ELSE c_mktsegment END AS c_mktsegment "
                      "FROM t_customer)")
+
+
+def sql_avg_money_over(expr: str, window: str) -> str:
+    """DuckDB text for a HALF_UP 2-place window average of DECIMAL(.,2)."""
+    s = f"CAST(sum({expr}) OVER {window} * 100 AS HUGEINT)"
+    n = f"count({expr}) OVER {window}"
+    return f"CAST(sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n})) AS DOUBLE) / 100"
