@@ -8,6 +8,7 @@ One checkpoint folder per query; sharing one between queries is refused.
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ _CLAIMED: dict[str, str] = {}
 class RunResult:
     batches: int
     rows: int
+    progress: list
 
 
 def claim_checkpoint(checkpoint: str, query_name: str) -> None:
@@ -45,8 +47,8 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str, fmt: str =
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    progress = q.recentProgress
-    return RunResult(batches=len(progress), rows=sum(p["numInputRows"] for p in progress))
+    progress = [json.loads(p.json) if hasattr(p, "json") else dict(p) for p in q.recentProgress]
+    return RunResult(batches=len(progress), rows=sum(p["numInputRows"] for p in progress), progress=progress)
 
 
 def append_batch(source: DataFrame, key: str, lo: int, hi: int, path: str) -> None:
