@@ -100,3 +100,20 @@ def round_trip(df: DataFrame, path: str, fmt: str) -> DataFrame:
     if fmt == "csv":
         r = r.option("header", "true")
     return r.load(path)
+
+
+def copy_into(spark: SparkSession, landing: str, target: str, ledger: str, fmt: str = "parquet") -> int:
+    """Idempotent load: append only files not yet in the ledger (one row per
+    loaded file path), then record them. A rerun loads nothing."""
+    src = spark.read.format(fmt).load(landing).withColumn("_file", F.col("_metadata.file_path"))
+    try:
+        seen = spark.read.parquet(ledger)
+        new = src.join(seen, "_file", "left_anti")
+    except Exception:                                   # no ledger yet: first load
+        new = src
+    files = [r[0] for r in new.select("_file").distinct().collect()]   # file names, not data
+    if not files:
+        return 0
+    new.drop("_file").write.mode("append").parquet(target)
+    spark.createDataFrame([(f,) for f in files], "_file STRING").write.mode("append").parquet(ledger)
+    return len(files)
