@@ -41,6 +41,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
     ``mode``: PERMISSIVE (bad fields become NULL; with ``keep_corrupt`` the
     raw line is kept in ``_corrupt_record``), DROPMALFORMED (bad rows are
     skipped) or FAILFAST (the first bad row fails the job).
+
+    Only the columns a query reads are parsed (CSV column pruning), so a
+    row with a bad field in an unread column is neither dropped nor failed;
+    a bare ``count()`` parses nothing.
     """
     if mode not in PARSE_MODES:
         raise ValueError(f"mode must be one of {PARSE_MODES}")
