@@ -81,15 +81,21 @@ def fk_subset(root: DataFrame, key: str, modulo: int) -> DataFrame:
     return root.filter(F.col(key) % modulo == 0)
 
 
+def _keys_of(parent: DataFrame, parent_key: str) -> DataFrame:
+    # Distinct keys: the de-duplication runs map-side before the shuffle, so
+    # a key repeated a billion times on the right crosses the network once
+    # per map task, not once per row.
+    return parent.select(F.col(parent_key).alias("_fk")).distinct()
+
+
 def semi(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose foreign key is among the parent's keys (no row growth)."""
-    return child.join(parent.select(F.col(parent_key).alias("_fk")),
-                      F.col(child_key) == F.col("_fk"), "left_semi")
+    """Child rows whose key is among the parent's keys (EXISTS; no row growth)."""
+    return child.join(_keys_of(parent, parent_key), F.col(child_key) == F.col("_fk"), "left_semi")
 
 
 def anti(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    return child.join(parent.select(F.col(parent_key).alias("_fk")),
-                      F.col(child_key) == F.col("_fk"), "left_anti")
+    """Child rows whose key is not among the parent's keys (NOT EXISTS)."""
+    return child.join(_keys_of(parent, parent_key), F.col(child_key) == F.col("_fk"), "left_anti")
 
 
 def row_count_report(frames: dict[str, DataFrame]) -> DataFrame:

@@ -25,12 +25,21 @@ def apply_scd1(changes: DataFrame, keys: Sequence[str], sequence: str, op: str =
 
 
 def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence: str, op: str = "op",
-               delete_value: str = "delete") -> DataFrame:
+               delete_value: str = "delete", segment_width: int | None = None) -> DataFrame:
     """One row per version: ``valid_from`` = its sequence, ``valid_to`` = the
     next change's sequence (NULL while current); deletes close the last
-    version and add none."""
-    w = Window.partitionBy(*keys).orderBy(sequence)
-    versions = changes.withColumn("valid_to", F.lead(sequence).over(w))
+    version and add none.
+
+    With ``segment_width`` (numeric sequences), keys with very many changes
+    are cut into sequence ranges of that width and windowed piecewise
+    (``operators.windows``), so one hot key does not fill one task."""
+    if segment_width:
+        from lakeforge.operators.windows import skew_safe_window
+        seg = F.floor(F.col(sequence) / F.lit(segment_width))
+        versions = skew_safe_window(changes, keys, [sequence], seg, {"valid_to": ("lead", sequence)})
+    else:
+        w = Window.partitionBy(*keys).orderBy(sequence)
+        versions = changes.withColumn("valid_to", F.lead(sequence).over(w))
     return (versions.filter(F.col(op) != delete_value)
             .withColumn("valid_from", F.col(sequence))
             .withColumn("is_current", F.col("valid_to").isNull())

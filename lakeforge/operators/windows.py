@@ -16,7 +16,8 @@ the segmented path; the rest use the plain window.
 
 Specs: ``{out: (kind, column[, k])}`` with kind one of ``running_sum``,
 ``lag``, ``lead``, ``first``, ``moving_sum`` and ``moving_count`` (a frame
-of the current row and the k-1 before it).
+of the current row and the k-1 before it), or ``range_sum`` whose third
+item is the RANGE ordering (peers share one sum).
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ def plain_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs
             "first": lambda: F.first(c).over(w),
             "moving_sum": lambda: F.sum(c).over(w.rowsBetween(-(k - 1), 0)),
             "moving_count": lambda: F.count(c).over(w.rowsBetween(-(k - 1), 0)),
+            "range_sum": lambda: F.sum(c).over(Window.partitionBy(*keys).orderBy(*_order_cols(k))),
         }[kind]()
     return df.withColumns(cols)
 
@@ -61,7 +63,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     wl_all = Window.partitionBy(*keys, "_seg")
     local = {"_pos": F.row_number().over(wl), "_cnt": F.count(F.lit(1)).over(wl_all)}
     seg_aggs: list[Column] = []
-    ks = [s[2] for s in specs.values() if s[0] in ("moving_sum", "moving_count")]
+    ks = [sp[2] for sp in specs.values() if sp[0] in ("moving_sum", "moving_count")]
     kmax = max(ks) if ks else 1
     order_struct = F.struct(*_order_cols(order))
     for out, (kind, c, *rest) in specs.items():
@@ -69,6 +71,11 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         if kind == "running_sum":
             local[f"_l_{out}"] = F.sum(c).over(wl.rowsBetween(Window.unboundedPreceding, 0))
             seg_aggs.append(F.sum(c).alias(f"_s_{out}"))
+        elif kind == "range_sum":
+            # Default RANGE frame on ``k`` (peers share a sum); peers never
+            # straddle segments because the segment is monotone in ``k``.
+            local[f"_l_{out}"] = F.sum(c).over(Window.partitionBy(*keys, "_seg").orderBy(*_order_cols(k)))
+            seg_aggs.append(F.sum(c).alias(f"_s_{out}"))
         elif kind == "lag":
             local[f"_l_{out}"] = F.lag(c).over(wl)
             seg_aggs.append(F.max_by(c, order_struct).alias(f"_s_{out}"))
@@ -95,7 +102,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     carry = {}
     for out, (kind, c, *rest) in specs.items():
         s = F.col(f"_s_{out}")
-        if kind == "running_sum":
+        if kind in ("running_sum", "range_sum"):
             carry[f"_c_{out}"] = F.sum(s).over(ws.rowsBetween(Window.unboundedPreceding, -1))
         elif kind == "lag":
             carry[f"_c_{out}"] = F.lag(s).over(ws)
@@ -112,7 +119,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     final = {}
     for out, (kind, c, *rest) in specs.items():
         k = rest[0] if rest else None
-        if kind == "running_sum":
+        if kind in ("running_sum", "range_sum"):
             final[out] = _null_add(F.col(f"_l_{out}"), F.col(f"_c_{out}"))
         elif kind == "lag":
             final[out] = F.when(F.col("_pos") == 1, F.col(f"_c_{out}")).otherwise(F.col(f"_l_{out}"))

@@ -74,17 +74,15 @@ URGENT_SQL = "(SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_ord
 @query("jn_05_left_semi", oracle=f"SELECT c_custkey, c_name FROM customer c WHERE EXISTS "
                                  f"(SELECT 1 FROM {URGENT_SQL} o WHERE o.o_custkey = c.c_custkey)")
 def jn_05(spark, sf_dir):
-    c = raw(spark, sf_dir, "customer").alias("c")
-    o = recent_urgent_orders(spark, sf_dir).alias("o")
-    return c.join(o, F.col("c.c_custkey") == F.col("o.o_custkey"), "left_semi").select("c_custkey", "c_name")
+    c = raw(spark, sf_dir, "customer")
+    return R.semi(c, recent_urgent_orders(spark, sf_dir), "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query("jn_06_left_anti", oracle=f"SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS "
                                  f"(SELECT 1 FROM {URGENT_SQL} o WHERE o.o_custkey = c.c_custkey)")
 def jn_06(spark, sf_dir):
-    c = raw(spark, sf_dir, "customer").alias("c")
-    o = recent_urgent_orders(spark, sf_dir).alias("o")
-    return c.join(o, F.col("c.c_custkey") == F.col("o.o_custkey"), "left_anti").select("c_custkey", "c_name")
+    c = raw(spark, sf_dir, "customer")
+    return R.anti(c, recent_urgent_orders(spark, sf_dir), "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query("jn_07_bounded_cross", oracle="SELECT r_name, c_mktsegment FROM region, (SELECT DISTINCT c_mktsegment FROM customer)")

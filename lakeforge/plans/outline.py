@@ -161,7 +161,7 @@ SELECT c_custkey, c_name, c_acctbal, valid_to, seq AS valid_from, valid_to IS NU
   SELECT *, lead(seq) OVER (PARTITION BY c_custkey ORDER BY seq) AS valid_to FROM chg) WHERE op <> 'delete'""",
     "customer", extra=CHG_SQL))
 def ex_13b(spark, sf_dir):
-    return S.apply_scd2(changes(spark, sf_dir), ["c_custkey"], "seq")
+    return S.apply_scd2(changes(spark, sf_dir), ["c_custkey"], "seq", segment_width=2)
 
 
 @query("ex_14_scd2_upsert", oracle=with_typed("""
