@@ -17,13 +17,14 @@ def _nr(spark, sf_dir):
     return nation, region
 
 
-ON_REGION = F.col("n.n_regionkey") == F.col("r.r_regionkey")
+def on_region():
+    return F.col("n.n_regionkey") == F.col("r.r_regionkey")
 
 
 @query("jn_01_inner_aliased", oracle="SELECT n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
 def jn_01(spark, sf_dir):
     n, r = _nr(spark, sf_dir)
-    return n.join(r, ON_REGION, "inner").select("n.n_name", "r.r_name")
+    return n.join(r, on_region(), "inner").select("n.n_name", "r.r_name")
 
 
 @query("jn_02_left_outer", oracle="""
@@ -32,7 +33,7 @@ LEFT JOIN (SELECT * FROM region WHERE r_name = 'EUROPE') r ON n.n_regionkey = r.
 def jn_02(spark, sf_dir):
     n, r = _nr(spark, sf_dir)
     europe = r.filter("r_name = 'EUROPE'")
-    return n.join(europe, ON_REGION, "left").select("n.n_name", "r.r_name")
+    return n.join(europe, on_region(), "left").select("n.n_name", "r.r_name")
 
 
 @query("jn_02_unmatched_count", oracle="""
@@ -48,7 +49,7 @@ SELECT n.n_name, r.r_name FROM (SELECT * FROM nation WHERE n_nationkey < 3) n
 RIGHT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def jn_03(spark, sf_dir):
     n, r = _nr(spark, sf_dir)
-    return n.filter("n_nationkey < 3").join(r, ON_REGION, "right").select("n.n_name", "r.r_name")
+    return n.filter("n_nationkey < 3").join(r, on_region(), "right").select("n.n_name", "r.r_name")
 
 
 @query("jn_04_full_outer", oracle="""
@@ -56,7 +57,7 @@ SELECT n.n_name, r.r_name FROM (SELECT * FROM nation WHERE n_nationkey < 3) n
 FULL JOIN (SELECT * FROM region WHERE r_name = 'EUROPE') r ON n.n_regionkey = r.r_regionkey""")
 def jn_04(spark, sf_dir):
     n, r = _nr(spark, sf_dir)
-    return (n.filter("n_nationkey < 3").join(r.filter("r_name = 'EUROPE'"), ON_REGION, "full")
+    return (n.filter("n_nationkey < 3").join(r.filter("r_name = 'EUROPE'"), on_region(), "full")
             .select("n.n_name", "r.r_name"))
 
 

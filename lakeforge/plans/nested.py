@@ -37,22 +37,23 @@ def ar_03(spark, sf_dir):
 
 # Parts of size 25 and below carry no word list (empty array), size 40 and
 # above a NULL one, so both explode forms have something to differ on.
-_ARR = (F.when(F.col("p_size") <= 25, F.array().cast("array<string>"))
-        .when(F.col("p_size") >= 40, F.lit(None).cast("array<string>"))
-        .otherwise(N.words("p_name")))
+def _arr():
+    return (F.when(F.col("p_size") <= 25, F.array().cast("array<string>"))
+            .when(F.col("p_size") >= 40, F.lit(None).cast("array<string>"))
+            .otherwise(N.words("p_name")))
 
 
 @query("ar_04_explode_outer", oracle=f"""
 SELECT p_partkey, unnest({W}) AS word FROM part WHERE p_size > 25 AND p_size < 40
 UNION ALL SELECT p_partkey, NULL AS word FROM part WHERE p_size <= 25 OR p_size >= 40""")
 def ar_04(spark, sf_dir):
-    return raw(spark, sf_dir, "part").select("p_partkey", F.explode_outer(_ARR).alias("word"))
+    return raw(spark, sf_dir, "part").select("p_partkey", F.explode_outer(_arr()).alias("word"))
 
 
 @query("ar_04_explode_inner", oracle=f"SELECT p_partkey, unnest({W}) AS word FROM part "
                                      f"WHERE p_size > 25 AND p_size < 40")
 def ar_04b(spark, sf_dir):
-    return raw(spark, sf_dir, "part").select("p_partkey", F.explode(_ARR).alias("word"))
+    return raw(spark, sf_dir, "part").select("p_partkey", F.explode(_arr()).alias("word"))
 
 
 @query("ar_05_size", oracle=f"SELECT p_partkey, CAST(len({W}) AS INTEGER) AS n_words FROM part")

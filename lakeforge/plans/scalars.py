@@ -122,8 +122,9 @@ def dt_12b(spark, sf_dir):
 
 
 # Order dates as text in the drill's pattern, with every 11th order garbled.
-_TEXT = F.when(F.col("o_orderkey") % 11 == 0, F.lit("bad")).otherwise(
-    F.date_format(F.col("o_orderdate"), "MM/dd/yyyy HH:mm"))
+def _text():
+    return F.when(F.col("o_orderkey") % 11 == 0, F.lit("bad")).otherwise(
+        F.date_format(F.col("o_orderdate"), "MM/dd/yyyy HH:mm"))
 _TEXT_SQL = ("CASE WHEN o_orderkey % 11 = 0 THEN 'bad' "
              "ELSE strftime(CAST(o_orderdate AS TIMESTAMP), '%m/%d/%Y %H:%M') END")
 
@@ -131,14 +132,14 @@ _TEXT_SQL = ("CASE WHEN o_orderkey % 11 = 0 THEN 'bad' "
 @query("dt_13_tolerant_parse", oracle=f"""
 SELECT o_orderkey, {_TEXT_SQL} AS s, try_strptime({_TEXT_SQL}, '%m/%d/%Y %H:%M') AS ts FROM orders""")
 def dt_13(spark, sf_dir):
-    o = raw(spark, sf_dir, "orders").select("o_orderkey", _TEXT.alias("s"))
+    o = raw(spark, sf_dir, "orders").select("o_orderkey", _text().alias("s"))
     return o.select("o_orderkey", "s", D.parse_tolerant("s", "MM/dd/yyyy HH:mm").cast("timestamp_ntz").alias("ts"))
 
 
 @query("dt_14_to_date", oracle=f"""
 SELECT o_orderkey, CAST(try_strptime({_TEXT_SQL}, '%m/%d/%Y %H:%M') AS DATE) AS d FROM orders""")
 def dt_14(spark, sf_dir):
-    o = raw(spark, sf_dir, "orders").select("o_orderkey", _TEXT.alias("s"))
+    o = raw(spark, sf_dir, "orders").select("o_orderkey", _text().alias("s"))
     return o.select("o_orderkey", F.to_date(D.parse_tolerant("s", "MM/dd/yyyy HH:mm")).alias("d"))
 
 

@@ -20,3 +20,13 @@ def test_query_names_are_inventory_ids():
     import re
     for name in E.queries():
         assert re.match(r"^(src|snk|prj|flt|cnd|jn|ag|wn|st|so|sf|dt|ar|sr|nl|up|pt|sm|dq|ud|ex)_\d\d_[a-z0-9_]+$", name), name
+
+
+def test_contract_importable_without_spark():
+    """The driver may read oracle_sql() before any session exists."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, '.'); import __spark_entry__ as E; "
+            "assert len(E.oracle_sql()) > 200 and len(E.queries()) > 200")
+    root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
