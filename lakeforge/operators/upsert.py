@@ -34,12 +34,21 @@ def _expr(e: str | Column) -> Column:
     return F.expr(e) if isinstance(e, str) else e
 
 
-def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
+def source_profile(source: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows, largest number of rows sharing one key) in one aggregate job."""
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(F.sum("_n").alias("rows"), F.max("_n").alias("worst")).first()
+    return int(row["rows"] or 0), int(row["worst"] or 0)
+
+
+def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> int:
     """Raise when a key occurs twice in the source (the merge would be
-    ambiguous); de-duplicate first with ``relational.dedup_latest``."""
-    dup = source.groupBy(*keys).count().filter("count > 1").limit(1).collect()
-    if dup:
-        raise DuplicateSourceKeys(f"source has duplicate keys, e.g. {dup[0].asDict()}")
+    ambiguous); de-duplicate first with ``relational.dedup_latest``.
+    Returns the source row count."""
+    rows, worst = source_profile(source, keys)
+    if worst > 1:
+        raise DuplicateSourceKeys(f"source has duplicate keys ({worst} rows share one key)")
+    return rows
 
 
 class Merge:
@@ -87,15 +96,14 @@ class Merge:
             cols += [c for c in self.source.columns if c not in cols]
         return cols
 
-    def _joined(self) -> DataFrame:
+    def _joined(self, source_rows: int) -> DataFrame:
         keys = self.keys
         t = self.target.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                                F.struct(*[F.col(c) for c in self.target.columns]).alias("t"))
         s = self.source.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                                F.struct(*[F.col(c) for c in self.source.columns]).alias("s"))
         kcols = [f"_k_{k}" for k in keys]
-        small = self.source.limit(self.broadcast_rows + 1).count() <= self.broadcast_rows
-        if not small:
+        if source_rows > self.broadcast_rows:
             return t.join(s, kcols, "full")
         left = t.join(F.broadcast(s), kcols, "left")
         matched_keys = left.filter(F.col("s").isNotNull()).select(*kcols)
@@ -105,8 +113,7 @@ class Merge:
 
     def plan(self) -> DataFrame:
         """All output rows, labelled; nothing runs until an action."""
-        check_unique_keys(self.source, self.keys)
-        j = self._joined()
+        j = self._joined(check_unique_keys(self.source, self.keys))
         t_in, s_in = F.col("t").isNotNull(), F.col("s").isNotNull()
         matched = t_in & s_in
         upd = self.update_set is not None

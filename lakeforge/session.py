@@ -51,10 +51,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def configure(spark: SparkSession) -> None:
-    """Apply DEFAULTS where unset and make sure a checkpoint dir is known."""
+    """Apply DEFAULTS where unset and make sure a checkpoint dir is known.
+
+    The session time zone is always UTC: epoch conversions, text formatting
+    of timestamps and event-time windows are defined in UTC here."""
     for k, v in DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
 
 

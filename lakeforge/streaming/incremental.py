@@ -75,3 +75,12 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema, max_files: int
     if with_source_file:
         df = df.withColumn("_source_file", F.col("_metadata.file_path"))
     return df
+
+
+def idempotent_batch_writer(base: str, fmt: str = "parquet"):
+    """``foreachBatch`` function writing batch ``n`` to ``base/batch_id=n``
+    with overwrite: a batch replayed after a failure (same id, same input,
+    from the checkpoint) replaces its own output instead of duplicating it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{base}/batch_id={batch_id}")
+    return write
