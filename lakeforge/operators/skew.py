@@ -1,9 +1,12 @@
 """Skew handling for joins and aggregates: find the hot keys with a partial
 aggregate, join them salted, join the rest normally.
 
-A key is hot when it holds more than ``hot_fraction`` of the rows, so at
-most ``1 / hot_fraction`` keys are hot: that list has a proven size bound
-and is broadcast. Hot rows of the big side are spread over ``salts``
+A key is hot when it holds more rows than a threshold: the smaller of
+``hot_fraction`` of all rows and ``max_rows_per_key`` (what one task should
+sort), but never so small that more than ``max_hot_keys`` keys could pass
+it. Since at most ``total / threshold`` keys can exceed the threshold, the
+hot list has a proven size bound (``max_hot_keys``) and is broadcast. The
+threshold is a scalar subquery inside the same plan (no separate job). Hot rows of the big side are spread over ``salts``
 sub-keys by a hash of the row (deterministic, so retries reproduce it);
 only the hot keys' rows of the other side are replicated ``salts`` times.
 The result equals the plain join.
@@ -15,10 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, hot_fraction: float) -> DataFrame:
-    total = df.count()
-    threshold = max(1, int(total * hot_fraction))
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold).select(key)
+MAX_ROWS_PER_KEY = 2_000_000
+MAX_HOT_KEYS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_fraction: float = 0.01,
+             max_rows_per_key: int = MAX_ROWS_PER_KEY, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Keys with more rows than the threshold (see module doc)."""
+    total = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    threshold = F.greatest(F.least(total * F.lit(hot_fraction), F.lit(float(max_rows_per_key))),
+                           total / F.lit(float(max_hot_keys)), F.lit(1.0))
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > threshold).select(key))
 
 
 def skew_join(big: DataFrame, other: DataFrame, key: str, other_key: str | None = None,

@@ -10,9 +10,14 @@ the last k-1 values) is windowed per key over segments (one row per
 segment, small) and joined back to carry running sums, lag, lead and
 moving frames across segment boundaries exactly.
 
-``skew_safe_window`` sends only hot keys (more than ``hot_fraction`` of the
-rows; at most ``1 / hot_fraction`` of them, a bounded broadcast) through
-the segmented path; the rest use the plain window.
+``skew_safe_window`` sends only hot keys (``skew.hot_keys``: more rows than
+one task should sort; the list has a proven size bound and is broadcast)
+through the segmented path; the rest use the plain window. A segment must
+itself be bounded for the guarantee to hold, e.g. (date, block of unique
+ids).
+
+For ``range_sum`` the segment must keep peers (equal RANGE order values)
+together, e.g. the order date itself.
 
 Specs: ``{out: (kind, column[, k])}`` with kind one of ``running_sum``,
 ``lag``, ``lead``, ``first``, ``moving_sum`` and ``moving_count`` (a frame
