@@ -133,7 +133,7 @@ def _packed(spark, sf_dir):
 
 
 @query("sr_01_struct_pack", oracle=with_typed(
-    "SELECT s_suppkey, to_json(struct_pack(s_name := s_name, s_phone := s_phone, balance := s_acctbal)) AS info "
+    "SELECT s_suppkey, CAST(to_json(struct_pack(s_name := s_name, s_phone := s_phone, balance := s_acctbal)) AS VARCHAR) AS info "
     "FROM t_supplier", "supplier"))
 def sr_01(spark, sf_dir):
     return _packed(spark, sf_dir).select("s_suppkey", F.to_json("info").alias("info"))

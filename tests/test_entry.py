@@ -30,3 +30,17 @@ def test_contract_importable_without_spark():
             "assert len(E.oracle_sql()) > 200 and len(E.queries()) > 200")
     root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_no_decimal_outputs(spark):
+    """Money is emitted as DOUBLE by every registered query (the oracle
+    casts the same columns)."""
+    from pyspark.sql import types as T
+    from lakeforge.plans.registry import MONEY_COLUMNS
+    cheap = [n for n in E.queries() if not n.startswith(("src_08", "src_09", "src_10", "sm_", "snk_08", "dq_0",
+                                                          "ex_27", "ex_28", "ex_09", "ex_05", "ex_18"))]
+    for name in cheap:
+        df = E.queries()[name](spark, "/root/testdata/sf0.001")
+        dec = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
+        assert not dec, (name, dec)
+    assert set(MONEY_COLUMNS) <= set(E.queries())
