@@ -184,3 +184,25 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     an unordered window that puts each key in one task."""
     totals = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
     return df.join(totals, list(keys)).withColumn(out, F.col(value) / F.col("_total")).drop("_total")
+
+
+def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int, segment: Column,
+               hot_fraction: float = 0.01, force_segmented: bool = False) -> DataFrame:
+    """Session windows per key as gaps and islands: a row starts a session
+    when the previous row of its key is ``gap_seconds`` or more before it.
+    The previous timestamp and the running count of session starts come
+    from the skew-safe window, and sessions are an aggregate, so neither a
+    hot key nor a long session has to fit in one task. Output matches
+    ``F.session_window``: start = first event, end = last event + gap."""
+    specs = {"_prev": ("lag", ts)}
+    prev = skew_safe_window(df.select(key, ts, tiebreak), [key], [ts, tiebreak], segment, specs,
+                            hot_fraction=hot_fraction, force_segmented=force_segmented)
+    gap = F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")
+    flagged = prev.withColumn("_start", F.when(F.col("_prev").isNull() | (F.col(ts) >= F.col("_prev") + gap), 1)
+                              .otherwise(0))
+    numbered = skew_safe_window(flagged, [key], [ts, tiebreak], segment, {"_sid": ("running_sum", "_start")},
+                                hot_fraction=hot_fraction, force_segmented=force_segmented)
+    return (numbered.groupBy(key, "_sid")
+            .agg(F.min(ts).alias("session_start"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("events"))
+            .select(key, "session_start",
+                    (F.col("_last") + gap).alias("session_end"), "events"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeforge.operators import windows as WIN
 from lakeforge.plans.registry import query
 from lakeforge.session import scratch_root
 from lakeforge.sources.tables import raw
@@ -51,18 +52,41 @@ def ex_27_sliding(spark, sf_dir):
     return ET.windowed_counts(ev, "ts", "1 hour", "2 days", "1 day")
 
 
-@query("ex_27_session_window", oracle="""
+SESSION_SQL = """
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events FROM (
   SELECT user_id, ts, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session_no FROM (
     SELECT user_id, ts, event_id, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
       OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END
       AS new_session FROM events))
-GROUP BY user_id, session_no""")
+GROUP BY user_id, session_no"""
+
+
+@query("ex_27_session_window", oracle=SESSION_SQL)
 def ex_27_session(spark, sf_dir):
+    """Gaps-and-islands sessions over the skew-safe window (no user has to
+    fit in one task)."""
+    ev = raw(spark, sf_dir, "events")
+    return WIN.sessionize(ev, "user_id", "ts", "event_id", 30 * 60, _event_segment())
+
+
+@query("ex_27_session_window_segmented", oracle=SESSION_SQL)
+def ex_27_session_seg(spark, sf_dir):
+    ev = raw(spark, sf_dir, "events")
+    return WIN.sessionize(ev, "user_id", "ts", "event_id", 30 * 60, _event_segment(), force_segmented=True)
+
+
+@query("ex_27_session_window_builtin", oracle=SESSION_SQL)
+def ex_27_session_builtin(spark, sf_dir):
+    """Spark's own ``session_window`` (per user in one task)."""
     ev = ET.event_time(raw(spark, sf_dir, "events"))
     return ET.sessions(ev, "ts", "30 minutes", ["user_id"])
 
 
+def _event_segment():
+    """(day, block of 2^20 event ids): monotone in (ts, event_id), bounded."""
+    return F.struct(F.to_date("ts").alias("d"), F.shiftright("event_id", 20).alias("b"))
+
+
 @query("sm_08_dedup_within_watermark", oracle="""
 SELECT event_id, ts, user_id, event_type, value FROM events""")
 def sm_08(spark, sf_dir):
