@@ -10,9 +10,9 @@ the last k-1 values) is windowed per key over segments (one row per
 segment, small) and joined back to carry running sums, lag, lead and
 moving frames across segment boundaries exactly.
 
-``skew_safe_window`` sends only hot keys (``skew.hot_keys``: more rows than
+``skew_safe_window`` cuts only hot keys (``skew.hot_keys``: more rows than
 one task should sort; the list has a proven size bound and is broadcast)
-through the segmented path; the rest use the plain window. A segment must
+into segments; every other key is one segment, which is the plain window. A segment must
 itself be bounded for the guarantee to hold, e.g. (date, block of unique
 ids).
 
@@ -58,6 +58,12 @@ def plain_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs
     return df.withColumns(cols)
 
 
+def _join_segments(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on (keys, segment). The left side is already hash
+    partitioned on exactly these columns, so only the right side moves."""
+    return left.join(right, [*keys, "_seg"], how)
+
+
 def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
                      specs: Spec) -> DataFrame:
     """Same result as ``plain_window``; ``order`` must be a total order."""
@@ -102,7 +108,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         tails = (d.filter(F.col("_cnt") - F.col("_pos") < kmax - 1)
                  .groupBy(*keys, "_seg")
                  .agg(F.sort_array(F.collect_list(F.struct("_pos", *[F.col(c) for c in tail_cols]))).alias("_tail")))
-        summary = summary.join(tails, [*keys, "_seg"], "left")
+        summary = _join_segments(summary, tails, keys, "left")
     ws = Window.partitionBy(*keys).orderBy("_seg")
     carry = {}
     for out, (kind, c, *rest) in specs.items():
@@ -120,7 +126,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         carry["_carry"] = F.slice(prev, F.greatest(F.size(prev) - (kmax - 1) + 1, F.lit(1)), kmax - 1)
     summary = summary.withColumns(carry).select(*keys, "_seg", *carry.keys())
 
-    j = d.join(summary, [*keys, "_seg"])
+    j = _join_segments(d, summary, keys, "inner")
     final = {}
     for out, (kind, c, *rest) in specs.items():
         k = rest[0] if rest else None
@@ -165,17 +171,24 @@ def _null_add(a: Column, b: Column) -> Column:
 
 def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
                      specs: Spec, hot_fraction: float = 0.01, force_segmented: bool = False) -> DataFrame:
-    """Plain window for ordinary keys, segmented window for hot keys."""
+    """One pass for all keys: hot keys are cut into segments, every other
+    key is a single segment (its segment value is NULL), so cold keys get
+    exactly the plain window while the data is scanned and shuffled once,
+    on (key, segment). The hot-key flag is a broadcast join against a list
+    with a proven size bound."""
     if force_segmented:
         return segmented_window(df, keys, order, segment, specs)
-    key = keys[0] if len(keys) == 1 else None
-    if key is None:
+    if len(keys) != 1:
         raise ValueError("skew_safe_window splits on a single key column")
-    hot = F.broadcast(hot_keys(df, key, hot_fraction).withColumnRenamed(key, "_hot"))
-    cond = F.col(key) == F.col("_hot")
-    cold = plain_window(df.join(hot, cond, "left_anti"), keys, order, specs)
-    warm = segmented_window(df.join(hot, cond, "left_semi"), keys, order, segment, specs)
-    return cold.unionByName(warm)
+    key = keys[0]
+    hot = F.broadcast(hot_keys(df, key, hot_fraction).select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
+    flagged = df.join(hot, F.col(key) == F.col("_hot"), "left").drop("_hot")
+    is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
+    # (False, NULL) for every row of a cold key: one segment. Struct equality
+    # treats the NULL fields as equal, so the joins stay plain equi-joins on
+    # (key, segment) and reuse the data's partitioning.
+    seg = F.struct(is_hot.alias("h"), F.when(is_hot, segment).alias("s"))
+    return segmented_window(flagged, keys, order, seg, specs).drop("_is_hot")
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
