@@ -5,7 +5,7 @@ import importlib
 
 from lakeforge.plans.registry import REGISTRY, Query, query
 
-SECTIONS = ("projection", "scalars", "nested", "nulls", "joins", "aggregates", "windows", "io", "upserts", "quality", "layout", "streams", "outline")
+SECTIONS = ("projection", "scalars", "nested", "nulls", "joins", "aggregates", "windows", "io", "upserts", "quality", "layout", "streams", "outline", "extras")
 
 
 def load_all() -> dict[str, Query]:
