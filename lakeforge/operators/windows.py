@@ -22,7 +22,10 @@ together, e.g. the order date itself.
 Specs: ``{out: (kind, column[, k])}`` with kind one of ``running_sum``,
 ``lag``, ``lead``, ``first``, ``moving_sum`` and ``moving_count`` (a frame
 of the current row and the k-1 before it), or ``range_sum`` whose third
-item is the RANGE ordering (peers share one sum).
+item is the RANGE ordering (peers share one sum), or ``row_number``,
+``rank`` and ``dense_rank`` (column ``None``; for the last two the third
+item is the rank ordering as names, '-' for descending, and its peers
+must share a segment).
 """
 
 from __future__ import annotations
@@ -54,6 +57,9 @@ def plain_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs
             "moving_sum": lambda: F.sum(c).over(w.rowsBetween(-(k - 1), 0)),
             "moving_count": lambda: F.count(c).over(w.rowsBetween(-(k - 1), 0)),
             "range_sum": lambda: F.sum(c).over(Window.partitionBy(*keys).orderBy(*_order_cols(k))),
+            "row_number": lambda: F.row_number().over(w),
+            "rank": lambda: F.rank().over(Window.partitionBy(*keys).orderBy(*_rank_order(k))),
+            "dense_rank": lambda: F.dense_rank().over(Window.partitionBy(*keys).orderBy(*_rank_order(k))),
         }[kind]()
     return df.withColumns(cols)
 
@@ -76,7 +82,9 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     seg_aggs: list[Column] = []
     ks = [sp[2] for sp in specs.values() if sp[0] in ("moving_sum", "moving_count")]
     kmax = max(ks) if ks else 1
-    order_struct = F.struct(*_order_cols(order))
+    def order_struct():
+        return F.struct(*_order_cols(order))      # only for lag / lead / first (ascending orders)
+
     for out, (kind, c, *rest) in specs.items():
         k = rest[0] if rest else None
         if kind == "running_sum":
@@ -89,12 +97,21 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
             seg_aggs.append(F.sum(c).alias(f"_s_{out}"))
         elif kind == "lag":
             local[f"_l_{out}"] = F.lag(c).over(wl)
-            seg_aggs.append(F.max_by(c, order_struct).alias(f"_s_{out}"))
+            seg_aggs.append(F.max_by(c, order_struct()).alias(f"_s_{out}"))
         elif kind == "lead":
             local[f"_l_{out}"] = F.lead(c).over(wl)
-            seg_aggs.append(F.min_by(c, order_struct).alias(f"_s_{out}"))
+            seg_aggs.append(F.min_by(c, order_struct()).alias(f"_s_{out}"))
         elif kind == "first":
-            seg_aggs.append(F.min_by(c, order_struct).alias(f"_s_{out}"))
+            seg_aggs.append(F.min_by(c, order_struct()).alias(f"_s_{out}"))
+        elif kind in ("row_number", "rank", "dense_rank"):
+            # Rank = local rank + rows (or distinct rank values) of earlier
+            # segments; peers of the rank order must share a segment.
+            wr = wl if kind == "row_number" else Window.partitionBy(*keys, "_seg").orderBy(*_rank_order(k))
+            fn = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[kind]
+            local[f"_l_{out}"] = fn().over(wr)
+            size = (F.count_distinct(F.struct(*_rank_names(k))) if kind == "dense_rank"
+                    else F.count(F.lit(1)))
+            seg_aggs.append(size.alias(f"_s_{out}"))
         elif kind in ("moving_sum", "moving_count"):
             fn = F.sum if kind == "moving_sum" else F.count
             local[f"_l_{out}"] = fn(c).over(wl.rowsBetween(-(k - 1), 0))
@@ -113,7 +130,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     carry = {}
     for out, (kind, c, *rest) in specs.items():
         s = F.col(f"_s_{out}")
-        if kind in ("running_sum", "range_sum"):
+        if kind in ("running_sum", "range_sum", "row_number", "rank", "dense_rank"):
             carry[f"_c_{out}"] = F.sum(s).over(ws.rowsBetween(Window.unboundedPreceding, -1))
         elif kind == "lag":
             carry[f"_c_{out}"] = F.lag(s).over(ws)
@@ -132,6 +149,8 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         k = rest[0] if rest else None
         if kind in ("running_sum", "range_sum"):
             final[out] = _null_add(F.col(f"_l_{out}"), F.col(f"_c_{out}"))
+        elif kind in ("row_number", "rank", "dense_rank"):
+            final[out] = (F.col(f"_l_{out}") + F.coalesce(F.col(f"_c_{out}"), F.lit(0))).cast("int")
         elif kind == "lag":
             final[out] = F.when(F.col("_pos") == 1, F.col(f"_c_{out}")).otherwise(F.col(f"_l_{out}"))
         elif kind == "lead":
@@ -154,6 +173,15 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     return j.withColumns(final).select(*base_cols, *specs.keys())
 
 
+def _rank_order(items: Sequence[str]) -> list[Column]:
+    """Rank orderings as names, a leading '-' for descending: ['-v', 'k']."""
+    return [F.col(x[1:]).desc() if x.startswith("-") else F.col(x) for x in items]
+
+
+def _rank_names(items: Sequence[str]) -> list[str]:
+    return [x.lstrip("-") for x in items]
+
+
 def _sum_type(t):
     """The type ``sum`` returns for a column of type ``t``."""
     from pyspark.sql import types as T

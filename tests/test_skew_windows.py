@@ -34,3 +34,16 @@ def test_share_of_total(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 3.0), (2, 5.0)], "k INT, v DOUBLE")
     got = sorted((r.k, r.s) for r in WIN.share_of_total(df, ["k"], "v", "s").collect())
     assert got == [(1, 0.25), (1, 0.75), (2, 1.0)]
+
+
+def test_segmented_ranks_equal_plain(spark):
+    # One group holds most rows, many ties on the rounded value.
+    df = spark.range(0, 2000).select(
+        F.when(F.col("id") % 4 == 0, F.lit("b")).otherwise(F.lit("a")).alias("g"), F.col("id").alias("id"),
+        (F.col("id") * 7919 % 97).alias("v"))
+    specs = {"rn": ("row_number", None), "rk": ("rank", None, ["-v"]), "dr": ("dense_rank", None, ["-v"])}
+    order = [F.col("v").desc(), F.col("id")]
+    plain = WIN.plain_window(df, ["g"], order, specs)
+    seg = WIN.segmented_window(df, ["g"], order, -F.col("v"), specs)
+    _same(plain, seg)
+    _same(plain, WIN.skew_safe_window(df, ["g"], order, -F.col("v"), specs, hot_fraction=0.3))
