@@ -28,6 +28,8 @@ class Query:
         return MONEY_COLUMNS.get(self.name, ())
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        from lakeforge.session import configure
+        configure(spark)                 # UTC, ANSI, AQE defaults; checkpoint dir known
         df = self.build(spark, sf_dir)
         if self.money:
             from pyspark.sql import functions as F
