@@ -1,10 +1,10 @@
 """Skew handling for joins and aggregates: find the hot keys with a partial
 aggregate, join them salted, join the rest normally.
 
-A key is hot when it holds more rows than a threshold: the smaller of
-``hot_fraction`` of all rows and ``max_rows_per_key`` (what one task should
-sort), but never so small that more than ``max_hot_keys`` keys could pass
-it. Since at most ``total / threshold`` keys can exceed the threshold, the
+A key is hot when it holds more rows than one task should handle,
+``max_rows_per_key`` (or, when ``hot_fraction`` is given, the smaller of
+that and ``hot_fraction`` of all rows), but the threshold is never so small
+that more than ``max_hot_keys`` keys could pass it. Since at most ``total / threshold`` keys can exceed the threshold, the
 hot list has a proven size bound (``max_hot_keys``) and is broadcast. The
 threshold is a scalar subquery inside the same plan (no separate job). Hot rows of the big side are spread over ``salts``
 sub-keys by a hash of the row (deterministic, so retries reproduce it);
@@ -22,18 +22,20 @@ MAX_ROWS_PER_KEY = 2_000_000
 MAX_HOT_KEYS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_fraction: float = 0.01,
+def hot_keys(df: DataFrame, key: str, hot_fraction: float | None = None,
              max_rows_per_key: int = MAX_ROWS_PER_KEY, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """Keys with more rows than the threshold (see module doc)."""
     total = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    threshold = F.greatest(F.least(total * F.lit(hot_fraction), F.lit(float(max_rows_per_key))),
-                           total / F.lit(float(max_hot_keys)), F.lit(1.0))
+    limit = F.lit(float(max_rows_per_key))
+    if hot_fraction is not None:
+        limit = F.least(total * F.lit(hot_fraction), limit)
+    threshold = F.greatest(limit, total / F.lit(float(max_hot_keys)), F.lit(1.0))
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
             .filter(F.col("_n") > threshold).select(key))
 
 
 def skew_join(big: DataFrame, other: DataFrame, key: str, other_key: str | None = None,
-              salts: int = 32, hot_fraction: float = 0.01, how: str = "inner") -> DataFrame:
+              salts: int = 32, hot_fraction: float | None = None, how: str = "inner") -> DataFrame:
     """Equi-join ``big`` to ``other`` on ``key`` with hot keys salted."""
     ok = other_key or key
     hot = F.broadcast(hot_keys(big, key, hot_fraction).withColumnRenamed(key, "_hot"))

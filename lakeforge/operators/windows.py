@@ -71,8 +71,12 @@ def _join_segments(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
-                     specs: Spec) -> DataFrame:
-    """Same result as ``plain_window``; ``order`` must be a total order."""
+                     specs: Spec, summarize: Column | None = None) -> DataFrame:
+    """Same result as ``plain_window``; ``order`` must be a total order.
+
+    ``summarize`` limits the per-segment summary to rows that can need a
+    carry (keys cut into several segments); other rows keep their local
+    values, so the summary stays as small as the hot part of the data."""
     keys = list(keys)
     base_cols = df.columns
     d = df.withColumn("_seg", segment)
@@ -102,6 +106,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
             local[f"_l_{out}"] = F.lead(c).over(wl)
             seg_aggs.append(F.min_by(c, order_struct()).alias(f"_s_{out}"))
         elif kind == "first":
+            local[f"_l_{out}"] = F.first(c).over(wl)
             seg_aggs.append(F.min_by(c, order_struct()).alias(f"_s_{out}"))
         elif kind in ("row_number", "rank", "dense_rank"):
             # Rank = local rank + rows (or distinct rank values) of earlier
@@ -117,12 +122,13 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
             local[f"_l_{out}"] = fn(c).over(wl.rowsBetween(-(k - 1), 0))
     d = d.withColumns(local)
 
-    summary = d.groupBy(*keys, "_seg").agg(*seg_aggs) if seg_aggs else d.select(*keys, "_seg").distinct()
+    src = d if summarize is None else d.filter(summarize)
+    summary = src.groupBy(*keys, "_seg").agg(*seg_aggs, F.lit(True).alias("_has"))
     tail_cols = sorted({s[1] for s in specs.values() if s[0] in ("moving_sum", "moving_count")})
     if tail_cols:
         # Last kmax-1 rows of each segment (positions from the end), at most
         # kmax-1 per group, so the collect is bounded.
-        tails = (d.filter(F.col("_cnt") - F.col("_pos") < kmax - 1)
+        tails = (src.filter(F.col("_cnt") - F.col("_pos") < kmax - 1)
                  .groupBy(*keys, "_seg")
                  .agg(F.sort_array(F.collect_list(F.struct("_pos", *[F.col(c) for c in tail_cols]))).alias("_tail")))
         summary = _join_segments(summary, tails, keys, "left")
@@ -141,9 +147,9 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     if tail_cols:
         prev = F.flatten(F.collect_list("_tail").over(ws.rowsBetween(-(kmax - 1), -1)))
         carry["_carry"] = F.slice(prev, F.greatest(F.size(prev) - (kmax - 1) + 1, F.lit(1)), kmax - 1)
-    summary = summary.withColumns(carry).select(*keys, "_seg", *carry.keys())
+    summary = summary.withColumns(carry).select(*keys, "_seg", "_has", *carry.keys())
 
-    j = _join_segments(d, summary, keys, "inner")
+    j = _join_segments(d, summary, keys, "left")
     final = {}
     for out, (kind, c, *rest) in specs.items():
         k = rest[0] if rest else None
@@ -156,11 +162,12 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         elif kind == "lead":
             final[out] = F.when(F.col("_pos") == F.col("_cnt"), F.col(f"_c_{out}")).otherwise(F.col(f"_l_{out}"))
         elif kind == "first":
-            final[out] = F.col(f"_c_{out}")
+            final[out] = F.when(F.col("_has"), F.col(f"_c_{out}")).otherwise(F.col(f"_l_{out}"))
         else:
             need = F.greatest(F.lit(k) - F.col("_pos"), F.lit(0))
-            n = F.least(need, F.size("_carry"))
-            values = F.transform("_carry", lambda x: x[c])
+            carried = F.coalesce(F.col("_carry"), F.array().cast(j.schema["_carry"].dataType))
+            n = F.least(need, F.size(carried))
+            values = F.transform(carried, lambda x: x[c])
             taken = F.slice(values, F.greatest(F.size(values) - n + 1, F.lit(1)), n)
             present = F.filter(taken, lambda x: x.isNotNull())
             if kind == "moving_sum":
@@ -198,7 +205,7 @@ def _null_add(a: Column, b: Column) -> Column:
 
 
 def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
-                     specs: Spec, hot_fraction: float = 0.01, force_segmented: bool = False) -> DataFrame:
+                     specs: Spec, hot_fraction: float | None = None, force_segmented: bool = False) -> DataFrame:
     """One pass for all keys: hot keys are cut into segments, every other
     key is a single segment (its segment value is NULL), so cold keys get
     exactly the plain window while the data is scanned and shuffled once,
@@ -216,7 +223,7 @@ def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     # treats the NULL fields as equal, so the joins stay plain equi-joins on
     # (key, segment) and reuse the data's partitioning.
     seg = F.struct(is_hot.alias("h"), F.when(is_hot, segment).alias("s"))
-    return segmented_window(flagged, keys, order, seg, specs).drop("_is_hot")
+    return segmented_window(flagged, keys, order, seg, specs, summarize=F.col("_seg.h")).drop("_is_hot")
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -228,7 +235,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
 
 
 def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int, segment: Column,
-               hot_fraction: float = 0.01, force_segmented: bool = False) -> DataFrame:
+               hot_fraction: float | None = None, force_segmented: bool = False) -> DataFrame:
     """Session windows per key as gaps and islands: a row starts a session
     when the previous row of its key is ``gap_seconds`` or more before it.
     The previous timestamp and the running count of session starts come
