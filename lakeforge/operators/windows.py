@@ -205,7 +205,8 @@ def _null_add(a: Column, b: Column) -> Column:
 
 
 def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
-                     specs: Spec, hot_fraction: float | None = None, force_segmented: bool = False) -> DataFrame:
+                     specs: Spec, hot_fraction: float | None = None, force_segmented: bool = False,
+                     sample_fraction: float | None = None) -> DataFrame:
     """One pass for all keys: hot keys are cut into segments, every other
     key is a single segment (its segment value is NULL), so cold keys get
     exactly the plain window while the data is scanned and shuffled once,
@@ -216,7 +217,13 @@ def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     if len(keys) != 1:
         raise ValueError("skew_safe_window splits on a single key column")
     key = keys[0]
-    hot = F.broadcast(hot_keys(df, key, hot_fraction).select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
+    hot_list = (hot_keys(df, key, hot_fraction) if sample_fraction is None
+                else hot_keys(df, key, hot_fraction, sample_fraction=sample_fraction))
+    # One small job over the key column: with no hot key the plain window
+    # (a single shuffle on the key) is already safe.
+    if not hot_list.limit(1).collect():
+        return plain_window(df, keys, order, specs)
+    hot = F.broadcast(hot_list.select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
     flagged = df.join(hot, F.col(key) == F.col("_hot"), "left").drop("_hot")
     is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
     # (False, NULL) for every row of a cold key: one segment. Struct equality

@@ -241,7 +241,8 @@ SELECT o_orderkey, o_custkey, c_name FROM so JOIN customer ON o_custkey = c_cust
 def ex_21(spark, sf_dir):
     o = skewed_orders(spark, sf_dir).select("o_orderkey", "o_custkey")
     c = raw(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return SK.skew_join(o, c, "o_custkey", "c_custkey", salts=8, hot_fraction=0.05).select("o_orderkey", "o_custkey", "c_name")
+    return SK.skew_join(o, c, "o_custkey", "c_custkey", salts=8, hot_fraction=0.05,
+                        sample_fraction=1.0).select("o_orderkey", "o_custkey", "c_name")
 
 
 @query("ex_21_skew_two_step_aggregate", oracle=f"""WITH {SKEW_SQL}

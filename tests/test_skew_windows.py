@@ -21,7 +21,8 @@ def test_segmented_equals_plain_on_hot_key(spark):
     plain = WIN.plain_window(df, ["k"], ["o"], SPECS)
     seg = WIN.segmented_window(df, ["k"], ["o"], (F.col("o") / 7).cast("bigint"), SPECS)
     _same(plain, seg)
-    mixed = WIN.skew_safe_window(df, ["k"], ["o"], (F.col("o") / 7).cast("bigint"), SPECS, hot_fraction=0.05)
+    mixed = WIN.skew_safe_window(df, ["k"], ["o"], (F.col("o") / 7).cast("bigint"), SPECS, hot_fraction=0.05,
+                                 sample_fraction=1.0)
     _same(plain, mixed)
 
 
@@ -46,4 +47,11 @@ def test_segmented_ranks_equal_plain(spark):
     plain = WIN.plain_window(df, ["g"], order, specs)
     seg = WIN.segmented_window(df, ["g"], order, -F.col("v"), specs)
     _same(plain, seg)
-    _same(plain, WIN.skew_safe_window(df, ["g"], order, -F.col("v"), specs, hot_fraction=0.3))
+    _same(plain, WIN.skew_safe_window(df, ["g"], order, -F.col("v"), specs, hot_fraction=0.3, sample_fraction=1.0))
+
+
+def test_sampled_hot_key_detection_finds_the_hot_key(spark):
+    from lakeforge.operators.skew import hot_keys
+    df = spark.range(0, 300000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    got = [r.k for r in hot_keys(df, "k", max_rows_per_key=50000, sample_fraction=0.05).collect()]
+    assert got == [0]
