@@ -1,4 +1,12 @@
-"""Column profiles in one aggregate pass, and drift between two frames."""
+"""Column profiles and drift between two frames.
+
+Rows, NULLs, min, max and mean of every column come from one aggregate.
+Exact distinct counts are one ``distinct`` + count per column (each reads
+only its column and de-duplicates map-side), instead of several
+``count_distinct`` in one aggregate, which would replicate every row once
+per column before the shuffle. The two small results are joined on the
+column name.
+"""
 
 from __future__ import annotations
 
@@ -8,22 +16,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def profile(df: DataFrame, columns: Sequence[str], exact_distinct: bool = True) -> DataFrame:
-    """One row per column: rows, nulls, distinct, min, max, mean (numeric
-    columns as DOUBLE). All statistics come from a single aggregate."""
+def _stats(df: DataFrame, columns: Sequence[str], approx_distinct: bool) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        d = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), d.alias(f"_d{i}"),
-                 F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}"), F.avg(x).alias(f"_m{i}")]
-    one = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("nulls"), F.col(f"_d{i}").alias("distinct"),
-                 F.col(f"_lo{i}").alias("min"), F.col(f"_hi{i}").alias("max"), F.col(f"_m{i}").alias("mean"))
-        for i, c in enumerate(columns)])).alias("p")
-    return one.select("_rows", rows).select("p.column", F.col("_rows").alias("rows"), "p.nulls", "p.distinct",
-                                            "p.min", "p.max", "p.mean")
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), F.min(x).alias(f"_lo{i}"),
+                 F.max(x).alias(f"_hi{i}"), F.avg(x).alias(f"_m{i}")]
+        if approx_distinct:
+            aggs.append(F.approx_count_distinct(c).alias(f"_d{i}"))
+    fields = lambda i, c: [F.lit(c).alias("column"), F.col(f"_n{i}").alias("nulls"),
+                           F.col(f"_lo{i}").alias("min"), F.col(f"_hi{i}").alias("max"), F.col(f"_m{i}").alias("mean")] + (
+        [F.col(f"_d{i}").alias("distinct")] if approx_distinct else [])
+    rows = F.explode(F.array(*[F.struct(*fields(i, c)) for i, c in enumerate(columns)])).alias("p")
+    return df.agg(*aggs).select("_rows", rows).select("p.*", F.col("_rows").alias("rows"))
+
+
+def _distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    parts = [df.select(c).distinct().agg(F.count(c).alias("distinct")).select(F.lit(c).alias("column"), "distinct")
+             for c in columns]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def profile(df: DataFrame, columns: Sequence[str], exact_distinct: bool = True) -> DataFrame:
+    """One row per column: rows, nulls, distinct, min, max, mean (as DOUBLE)."""
+    stats = _stats(df, columns, approx_distinct=not exact_distinct)
+    if exact_distinct:
+        stats = stats.join(F.broadcast(_distinct_counts(df, columns)), "column")   # one row per column
+    return stats.select("column", "rows", "nulls", "distinct", "min", "max", "mean")
 
 
 def drift(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
