@@ -61,9 +61,13 @@ def skew_join(big: DataFrame, other: DataFrame, key: str, other_key: str | None
     oth_cold = other.join(hot, F.col(ok) == F.col("_hot"), "left_anti")
     salted_big = big_hot.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
     salted_oth = oth_hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    cond_hot = (salted_big[key] == salted_oth[ok]) & (salted_big["_salt"] == salted_oth["_salt"])
-    hot_part = salted_big.join(salted_oth, cond_hot, how).drop("_salt")
-    cold_part = big_cold.join(oth_cold, big_cold[key] == oth_cold[ok], how)
+    if ok == key:                      # shared key name: one key column, as join(on=key)
+        hot_part = salted_big.join(salted_oth, [key, "_salt"], how).drop("_salt")
+        cold_part = big_cold.join(oth_cold, key, how)
+    else:
+        cond_hot = (salted_big[key] == salted_oth[ok]) & (salted_big["_salt"] == salted_oth["_salt"])
+        hot_part = salted_big.join(salted_oth, cond_hot, how).drop("_salt")
+        cold_part = big_cold.join(oth_cold, big_cold[key] == oth_cold[ok], how)
     return cold_part.unionByName(hot_part)
 
 
