@@ -42,15 +42,32 @@ def file_report(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"))
 
 
-def compact(df: DataFrame, path: str, target_files: int) -> None:
-    """Rewrite with a target file count (round-robin, so files are even)."""
-    df.repartition(target_files).write.mode("overwrite").parquet(path)
+TARGET_FILE_BYTES = 512 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files behind ``df`` (file metadata; no data read)."""
+    sizes = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return int(sizes.agg(F.sum("file_size")).first()[0] or 0)
+
+
+def compact(df: DataFrame, path: str, target_files: int | None = None,
+            target_file_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Rewrite into fewer, even files (round-robin). Without
+    ``target_files`` the count follows the input size: about one file per
+    ``target_file_bytes``. Returns the file count used."""
+    n = target_files or max(1, -(-input_bytes(df) // target_file_bytes))
+    df.repartition(n).write.mode("overwrite").parquet(path)
+    return n
 
 
 def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by: Sequence[str],
-                    files_per_partition: int = 1) -> None:
+                    num_partitions: int | None = None) -> None:
     """Partitioned folders, rows range-clustered on ``cluster_by`` within
-    them, so min/max statistics let scans skip row groups."""
-    (df.repartitionByRange(max(1, files_per_partition), *partition_by, *cluster_by)
-     .sortWithinPartitions(*partition_by, *cluster_by)
-     .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
+    them, so min/max statistics let scans skip row groups. The range
+    exchange has ``num_partitions`` tasks (default: the session's shuffle
+    partitions, coalesced by adaptive execution), each writing a contiguous
+    key range, so file count grows with the data, not with a constant."""
+    cols = [*partition_by, *cluster_by]
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    ranged.sortWithinPartitions(*cols).write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -61,7 +61,7 @@ def ex_18(spark, sf_dir):
     path = scratch_root(spark, "many_files")
     raw(spark, sf_dir, "orders").repartition(16).write.mode("overwrite").parquet(path)
     compacted = scratch_root(spark, "compacted")
-    L.compact(spark.read.parquet(path), compacted, 2)
+    L.compact(spark.read.parquet(path), compacted)           # file count from input bytes
     before = L.file_report(spark.read.parquet(path)).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
     after = L.file_report(spark.read.parquet(compacted)).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
     return before.withColumn("stage", F.lit("before")).unionByName(after.withColumn("stage", F.lit("after")))

@@ -357,5 +357,5 @@ def ex_19(spark, sf_dir):
     from lakeforge.operators.layout import write_clustered
     o = typed(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", F.year("o_orderdate").alias("yr"))
     path = scratch_root(spark, "clustered_orders")
-    write_clustered(o, path, ["yr"], ["o_custkey"], files_per_partition=4)
+    write_clustered(o, path, ["yr"], ["o_custkey"])
     return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderdate", "yr")

@@ -112,7 +112,7 @@ def test_partition_pruning_on_clustered_layout(spark, sf):
     from lakeforge.plans.inspect import explain_text
     o = typed(spark, sf, "orders").withColumn("yr", F.year("o_orderdate"))
     path = scratch_root(spark, "t_clustered")
-    write_clustered(o, path, ["yr"], ["o_custkey"], files_per_partition=2)
+    write_clustered(o, path, ["yr"], ["o_custkey"], num_partitions=4)
     q = spark.read.parquet(path).filter("yr = 1998 AND o_custkey < 10")
     text = explain_text(q)
     assert "PartitionFilters: [isnotnull(yr" in text and "(yr" in text and "= 1998)" in text
@@ -148,3 +148,15 @@ def test_foreach_batch_is_idempotent_per_batch(spark, sf):
     writer(spark.read.parquet(replay), 0)                     # overwrites its own output
     again = spark.read.parquet(out).count()
     assert first == again == 150
+
+
+def test_compaction_sizes_files_from_input_bytes(spark, sf):
+    from lakeforge.operators.layout import compact, input_bytes
+    src = scratch_root(spark, "t_small_files")
+    typed(spark, sf, "orders").repartition(12).write.parquet(src)
+    df = spark.read.parquet(src)
+    assert input_bytes(df) > 0
+    out = scratch_root(spark, "t_compacted")
+    assert compact(df, out) == 1                       # well under one target file
+    assert spark.read.parquet(out).count() == df.count()
+    assert compact(df, scratch_root(spark, "t_compacted3"), target_file_bytes=max(1, input_bytes(df) // 3)) >= 3
