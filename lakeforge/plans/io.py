@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeforge.functions import columns as C
 from lakeforge.operators import relational as R
 from lakeforge.plans.registry import query
+from lakeforge.plans.sqlkit import temp_view
 from lakeforge.session import scratch_root
 from lakeforge.sources import files as FS
 from lakeforge.sources.tables import raw, typed, with_typed
@@ -26,8 +27,7 @@ def _customer_csv(spark, sf_dir, name="customer_csv"):
 
 @query("src_01_scan_registered_table", oracle="SELECT * FROM customer")
 def src_01(spark, sf_dir):
-    raw(spark, sf_dir, "customer").createOrReplaceTempView("customer_tbl")
-    return spark.table("customer_tbl")
+    return spark.table(temp_view(raw(spark, sf_dir, "customer"), "customer_tbl"))
 
 
 @query("src_02_csv_declared_schema", oracle=CUSTOMER_SQL)
@@ -96,8 +96,8 @@ def src_06(spark, sf_dir):
 
 @query("src_07_temp_view_sql", oracle="SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY c_mktsegment")
 def src_07(spark, sf_dir):
-    raw(spark, sf_dir, "customer").createOrReplaceTempView("v_customer")
-    return spark.sql("SELECT c_mktsegment, count(*) AS customers FROM v_customer GROUP BY c_mktsegment")
+    v = temp_view(raw(spark, sf_dir, "customer"), "v_customer")
+    return spark.sql(f"SELECT c_mktsegment, count(*) AS customers FROM {v} GROUP BY c_mktsegment")
 
 
 @query("src_08_json_landing_stream", oracle=

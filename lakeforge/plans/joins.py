@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.operators import relational as R
 from lakeforge.plans.registry import query
+from lakeforge.plans.sqlkit import temp_view
 from lakeforge.plans.windows import SPEND_SQL, customer_spend
 from lakeforge.sources.tables import raw, typed, with_typed
 
@@ -124,11 +125,11 @@ def jn_10(spark, sf_dir):
 @query("jn_11_sql_broadcast_hint", oracle="""
 SELECT n.n_name, count(*) AS customers FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
 def jn_11(spark, sf_dir):
-    raw(spark, sf_dir, "customer").createOrReplaceTempView("v_customer")
-    raw(spark, sf_dir, "nation").createOrReplaceTempView("v_nation")
-    return spark.sql("""
+    vc = temp_view(raw(spark, sf_dir, "customer"), "v_customer")
+    vn = temp_view(raw(spark, sf_dir, "nation"), "v_nation")
+    return spark.sql(f"""
         SELECT /*+ BROADCAST(n) */ n.n_name, count(*) AS customers
-        FROM v_customer c JOIN v_nation n ON c.c_nationkey = n.n_nationkey
+        FROM {vc} c JOIN {vn} n ON c.c_nationkey = n.n_nationkey
         GROUP BY n.n_name""")
 
 
@@ -155,12 +156,12 @@ SELECT (SELECT count(*) FROM customer WHERE c_nationkey NOT IN {_KEYS_WITH_NULL.
        (SELECT count(*) FROM customer c WHERE NOT EXISTS
           (SELECT 1 FROM {_KEYS_WITH_NULL.format(nation='nation')} k WHERE k.k = c.c_nationkey)) AS anti_rows""")
 def jn_14(spark, sf_dir):
-    raw(spark, sf_dir, "customer").createOrReplaceTempView("v_customer")
-    raw(spark, sf_dir, "nation").createOrReplaceTempView("v_nation")
-    keys = _KEYS_WITH_NULL.format(nation="v_nation")
+    vc = temp_view(raw(spark, sf_dir, "customer"), "v_customer")
+    vn = temp_view(raw(spark, sf_dir, "nation"), "v_nation")
+    keys = _KEYS_WITH_NULL.format(nation=vn)
     return spark.sql(f"""
-        SELECT (SELECT count(*) FROM v_customer WHERE c_nationkey NOT IN {keys}) AS not_in_rows,
-               (SELECT count(*) FROM v_customer c LEFT ANTI JOIN {keys} k ON k.k = c.c_nationkey) AS anti_rows""")
+        SELECT (SELECT count(*) FROM {vc} WHERE c_nationkey NOT IN {keys}) AS not_in_rows,
+               (SELECT count(*) FROM {vc} c LEFT ANTI JOIN {keys} k ON k.k = c.c_nationkey) AS anti_rows""")
 
 
 @query("jn_15_suppliers_with_parts", oracle=with_typed(

@@ -16,7 +16,7 @@ from lakeforge.operators import security as SEC
 from lakeforge.operators import skew as SK
 from lakeforge.plans.aggregates import by_nation
 from lakeforge.plans.registry import query
-from lakeforge.plans.sqlkit import avg_money, sql_avg_money
+from lakeforge.plans.sqlkit import avg_money, sql_avg_money, temp_view
 from lakeforge.session import scratch_root
 from lakeforge.sources import files as FS
 from lakeforge.sources.tables import raw, typed, with_typed
@@ -44,10 +44,10 @@ def ex_01(spark, sf_dir):
     "SELECT c_custkey, CASE WHEN c_acctbal < 5000 THEN 'standard' ELSE 'premium' END AS band FROM pos", "customer",
     extra="pos AS (SELECT * FROM t_customer WHERE c_acctbal > 100)"))
 def ex_02(spark, sf_dir):
-    typed(spark, sf_dir, "customer").createOrReplaceTempView("v_customer")
+    v = temp_view(typed(spark, sf_dir, "customer"), "v_customer")
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION lf_band(b DECIMAL(18,2)) RETURNS STRING
                  RETURN CASE WHEN b < 5000 THEN 'standard' ELSE 'premium' END""")
-    return spark.sql("""WITH pos AS (SELECT * FROM v_customer WHERE c_acctbal > :min_balance)
+    return spark.sql(f"""WITH pos AS (SELECT * FROM {v} WHERE c_acctbal > :min_balance)
                         SELECT c_custkey, lf_band(c_acctbal) AS band FROM pos""", args={"min_balance": 100})
 
 
@@ -55,12 +55,12 @@ def ex_02(spark, sf_dir):
                                            "CAST(0 AS BIGINT) AS only_in_df, CAST(0 AS BIGINT) AS only_in_sql")
 def ex_04(spark, sf_dir):
     df_form = by_nation(spark, sf_dir).select("n_name", "customers", "avg_balance", "total_balance")
-    typed(spark, sf_dir, "customer").createOrReplaceTempView("v_customer")
-    raw(spark, sf_dir, "nation").createOrReplaceTempView("v_nation")
-    sql_form = spark.sql("""
+    vc = temp_view(typed(spark, sf_dir, "customer"), "v_customer")
+    vn = temp_view(raw(spark, sf_dir, "nation"), "v_nation")
+    sql_form = spark.sql(f"""
         SELECT n_name, count(*) AS customers, CAST(round(sum(c_acctbal) / count(c_acctbal), 2) AS DOUBLE) AS avg_balance,
                CAST(sum(c_acctbal) AS DOUBLE) AS total_balance
-        FROM v_customer JOIN v_nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+        FROM {vc} JOIN {vn} ON c_nationkey = n_nationkey GROUP BY n_name""")
     one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
     return (one(df_form, "df_rows").crossJoin(one(sql_form, "sql_rows"))
             .crossJoin(one(df_form.exceptAll(sql_form), "only_in_df"))
@@ -287,8 +287,7 @@ def ex_23(spark, sf_dir):
     ent = F.broadcast(spark.createDataFrame(ENTITLEMENTS, "group STRING, value STRING"))
     groups = spark.createDataFrame(GROUPS, "group STRING, unmasked BOOLEAN")
     view = SEC.dynamic_view(_cust_region(spark, sf_dir), ent, groups, "r_name", ["c_phone"])
-    view.createOrReplaceTempView("v_customer_by_group")
-    return spark.table("v_customer_by_group").select("group", "c_custkey", "c_name", "c_phone", "r_name")
+    return spark.table(temp_view(view, "v_customer_by_group")).select("group", "c_custkey", "c_name", "c_phone", "r_name")
 
 
 @query("ex_24_erase_cascade", oracle="""

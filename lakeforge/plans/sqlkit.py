@@ -51,3 +51,12 @@ def sql_avg_money_over(expr: str, window: str) -> str:
     s = f"CAST(sum({expr}) OVER {window} * 100 AS HUGEINT)"
     n = f"count({expr}) OVER {window}"
     return f"CAST(sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n})) AS DOUBLE) / 100"
+
+
+def temp_view(df, base: str) -> str:
+    """Register ``df`` under a name unique to this call (so queries built
+    concurrently in one session never see each other's views)."""
+    import uuid
+    name = f"{base}_{uuid.uuid4().hex[:8]}"
+    df.createOrReplaceTempView(name)
+    return name
