@@ -19,8 +19,10 @@ from lakeforge.sources.tables import raw, typed, with_typed
 from lakeforge.streaming import incremental as INC
 
 
-def _table(spark, name):
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+def _table(spark, base):
+    """A catalog table name unique to this call, with its shared location."""
+    import uuid
+    name = f"{base}_{uuid.uuid4().hex[:8]}"
     return name, scratch_root(spark, name)
 
 

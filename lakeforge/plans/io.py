@@ -140,7 +140,7 @@ def incremental_customer(spark, sf_dir, name: str, via_table: bool):
     INC.append_batch(source, "c_custkey", 0, 500, src_path)
     table = None
     if via_table:
-        table = f"{name}_source_tbl"
+        table = f"{name}_source_tbl_{abs(hash(src_path)) % 10**8}"      # unique per call
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{src_path}'")
     schema = spark.read.parquet(src_path).schema
@@ -253,12 +253,12 @@ def snk_08(spark, sf_dir):
     source = typed(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     source.write.mode("overwrite").parquet(src_path)
     sink_path, ckpt = scratch_root(spark, "snk08_sink"), scratch_root(spark, "snk08_ckpt")
-    spark.sql("DROP TABLE IF EXISTS snk08_sink")
+    table = f"snk08_sink_{abs(hash(sink_path)) % 10**8}"                 # unique per call
     stream = spark.readStream.schema(source.schema).parquet(src_path).withColumn("balance_band", sign_band())
     q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
-         .option("path", sink_path).trigger(availableNow=True).toTable("snk08_sink"))
+         .option("path", sink_path).trigger(availableNow=True).toTable(table))
     q.awaitTermination()
-    return spark.table("snk08_sink")
+    return spark.table(table)
 
 
 @query("prj_06_normalize_then_write", oracle=with_typed(
