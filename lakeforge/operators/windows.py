@@ -206,7 +206,7 @@ def _null_add(a: Column, b: Column) -> Column:
 
 def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
                      specs: Spec, hot_fraction: float | None = None, force_segmented: bool = False,
-                     sample_fraction: float | None = None) -> DataFrame:
+                     sample_fraction: float | None = None, materialize: bool = False) -> DataFrame:
     """One pass for all keys: hot keys are cut into segments, every other
     key is a single segment (its segment value is NULL), so cold keys get
     exactly the plain window while the data is scanned and shuffled once,
@@ -217,6 +217,11 @@ def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     if len(keys) != 1:
         raise ValueError("skew_safe_window splits on a single key column")
     key = keys[0]
+    if materialize:
+        # A derived input (e.g. an aggregate) is written once to the shared
+        # checkpoint folder, so detection and the window do not both
+        # recompute it; a reliable checkpoint survives executor loss.
+        df = df.checkpoint(eager=True)
     hot_list = (hot_keys(df, key, hot_fraction) if sample_fraction is None
                 else hot_keys(df, key, hot_fraction, sample_fraction=sample_fraction))
     # One small job over the key column: with no hot key the plain window
