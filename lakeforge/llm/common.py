@@ -143,6 +143,12 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+_CONTINUED = np.zeros(256, bool)                 # bytes inside a code point
+_CONTINUED[0x80:0xC0] = True
+_LOWER = np.arange(256, dtype=np.uint8)          # A-Z lower-cased
+_LOWER[65:91] += 32
+
+
 def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+``; a word never runs over a row's end."""
     if not len(data):

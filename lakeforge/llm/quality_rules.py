@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeforge.llm.common import SPACE, flat, fresh, gram_hashes, prefix_sums, quoted, range_hashes, steps, utf8, word_bounds
+from lakeforge.llm.common import _CONTINUED, SPACE, flat, fresh, gram_hashes, prefix_sums, quoted, range_hashes, steps, utf8, word_bounds
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_CONTINUED = np.zeros(256, bool)
-_CONTINUED[0x80:0xC0] = True
+
+
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import exact_dedup, mixing, oracles, packing, quality_rules, simhash
+from lakeforge.llm import exact_dedup, mixing, oracles, packing, pii, quality_rules, secrets, simhash, toxicity, urls
 from lakeforge.session import configure
 
 
@@ -19,6 +19,40 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(_table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    count = lambda name: F.size(F.filter("found", lambda s: s["k"] == secrets.KINDS.index(name))).cast("bigint").alias(f"n_{name}")
+    return found.select(F.col("id").alias("doc_id"), *[count(k) for k in secrets.KINDS],
+                        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"), secrets.joined(F.col("found")).alias("spans"))
+
+
+#: Fixed by the query: rules by host and path.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+#: Host labels whose pages' URLs make up the list.
+LISTED_LABELS = ("spam-farm", "cheap-pills")
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(F.arrays_overlap(F.split(urls.host_of(F.col("url")), "\\."), F.array(*map(F.lit, LISTED_LABELS)))).select("url")
+    return urls.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), *[f"n_{k.name}" for k in pii.KINDS],
+                        F.sha2(pii.joined(F.col("found"), base_only=True), 256).alias("base_sha256"), pii.joined(F.col("found")).alias("spans"),
+                        F.coalesce(F.array_max(F.transform("found", lambda s: s["score"])), F.lit(0.0)).alias("top_score"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), use=fold != 0)
+    scored = toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", (F.coalesce(fold, F.lit(-1)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -43,7 +77,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), length=2048, end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op6_packing, op8_quality_rules, op9_simhash_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_secrets, op3_url_filter, op4_pii, op6_packing, op7_toxicity, op8_quality_rules, op9_simhash_dedup, op10_mixing)}
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": oracles.OP1,
     "op8_quality_rules": oracles.op8(quality_rules.Limits()),
