@@ -10,6 +10,54 @@ FROM d WINDOW g AS (PARTITION BY t)
 """
 
 
+def op3(rules, labels, tracking) -> str:
+    def fits(text: str) -> str:
+        host, slash, path = text.partition("/")
+        return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{slash}{path}'))"
+
+    longest = sorted(rules, key=lambda r: -len(r[1]))
+    rule = " ".join(f"WHEN {fits(t)} THEN '{t}'" for _, t in longest)
+    said = " ".join(f"WHEN {fits(t)} THEN '{v}'" for v, t in longest)
+    dropped = " OR ".join(f"starts_with(x, '{t}')" for t in tracking)
+    return f"""
+WITH r AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+        list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT ({dropped}))) AS params
+      FROM r),
+c AS (SELECT *, CASE {rule} END AS rule, CASE {said} END AS said,
+        CASE WHEN instr(url, '://') > 0 THEN regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '/+$', '')
+             || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canon
+      FROM p),
+l AS (SELECT DISTINCT canon FROM c WHERE canon IS NOT NULL AND list_has_any(string_split(host, '.'), {list(labels)!r}))
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN l.canon IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN l ON c.canon = l.canon
+"""
+
+
+# Texts as hex, two digits a byte; w: every 50-byte string with the smallest document that has it.
+OP5 = """
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+c AS (SELECT doc_id, q, substr(h, CAST(1024 * q + 1 AS BIGINT), 1122) AS c
+      FROM (SELECT doc_id, h, unnest(range(0, (greatest(0, len(h) // 2 - 49) + 511) // 512)) AS q FROM d)),
+s AS (SELECT doc_id, 512 * q + p AS p, substr(c, CAST(2 * p + 1 AS BIGINT), 100) AS s
+      FROM (SELECT doc_id, q, c, unnest(range(0, least(512, len(c) // 2 - 49))) AS p FROM c)),
+f AS (SELECT s, min(doc_id) AS first FROM s GROUP BY s HAVING min(doc_id) < max(doc_id)),
+w AS (SELECT doc_id, p, first FROM s JOIN f USING (s)),
+g AS (SELECT doc_id, p, p - lag(p) OVER k > 50 OR lag(p) OVER k IS NULL AS opens
+      FROM w WHERE first < doc_id WINDOW k AS (PARTITION BY doc_id ORDER BY p)),
+r AS (SELECT doc_id, n, min(p) AS a, max(p) + 50 AS z
+      FROM (SELECT doc_id, p, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY p) AS n FROM g) GROUP BY doc_id, n),
+e AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS b FROM r),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last,
+        string_agg(substr(h, CAST(2 * b + 1 AS BIGINT), CAST(2 * (a - b) AS BIGINT)), '' ORDER BY a) AS kept
+      FROM e JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
 def _dup(n: int) -> str:
     return f"""
 g{n} AS (SELECT doc_id, p, CASE WHEN p + {n - 1} <= len(words) THEN

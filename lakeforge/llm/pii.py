@@ -125,7 +125,11 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counts = F.col("score").isNotNull() & (_by_kind(lambda kind: F.lit(kind.base)) | (F.col("score") >= THRESHOLD))
     found = F.when(counts, F.struct("start", "k", "end", "score"))
     return (rows.groupBy("row_no", "id").agg(F.array_sort(F.collect_list(found)).alias("found"))
-            .select("id", *[F.size(F.filter("found", lambda s, k=k: s.k == k)).cast("bigint").alias(f"n_{kind.name}") for k, kind in enumerate(KINDS)], "found"))
+            .select("id", *[_number(k).alias(f"n_{kind.name}") for k, kind in enumerate(KINDS)], "found"))
+
+
+def _number(k: int) -> Column:
+    return F.size(F.filter("found", lambda s: s["k"] == k)).cast("bigint")
 
 
 def _listed(k: int) -> Column:
@@ -140,5 +144,5 @@ def joined(found: Column, base_only: bool = False) -> Column:
     """Spans as kind:start:end, comma-joined."""
     names = F.array(*[F.lit(kind.name) for kind in KINDS])
     if base_only:
-        found = F.filter(found, lambda s: s.k < sum(kind.base for kind in KINDS))
-    return F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.get(names, s.k), s.start, s.end)), ",")
+        found = F.filter(found, lambda s: s["k"] < sum(kind.base for kind in KINDS))
+    return F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.get(names, s["k"]), s["start"], s["end"])), ",")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import exact_dedup, mixing, oracles, packing, pii, quality_rules, secrets, simhash, toxicity, urls
+from lakeforge.llm import exact_dedup, mixing, oracles, packing, pii, quality_rules, secrets, simhash, suffix_dedup, toxicity, urls
 from lakeforge.session import configure
 
 
@@ -73,14 +73,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_single(_table(spark, sf_dir, "documents"), "source", cycle_weights, max_repeats=3)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=50).withColumnRenamed("id", "doc_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), length=2048, end_id=0)
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_secrets, op3_url_filter, op4_pii, op6_packing, op7_toxicity, op8_quality_rules, op9_simhash_dedup, op10_mixing)}
+    op1_exact_dedup, op2_secrets, op3_url_filter, op4_pii, op5_suffix_dedup, op6_packing, op7_toxicity, op8_quality_rules, op9_simhash_dedup, op10_mixing)}
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": oracles.OP1,
+    "op3_url_filter": oracles.op3(URL_RULES, LISTED_LABELS, urls.TRACKING),
+    "op5_suffix_dedup": oracles.OP5,
     "op8_quality_rules": oracles.op8(quality_rules.Limits()),
     "op10_mixing": oracles.OP10,
 }

@@ -100,13 +100,15 @@ def bloom_blocks(listed: DataFrame, col: str, blocks: int) -> DataFrame:
 def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]], url_col: str = "url", listed_col: str = "url",
           max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """``pages`` with host, path, rule and verdict ('allow' or 'block');
-    a URL that no rule fits is blocked if its canonical form is listed."""
-    host, path, rule, verdict, canon, block, bits = fresh(pages, "host", "path", "rule", "verdict", "canon", "block", "bits")
-    entries = save(listed.select(canonical(quoted(listed_col)).alias("entry")).where("entry IS NOT NULL").distinct(), "listed")
+    a URL that no rule fits is blocked if its canonical form is listed. Where
+    ``pages`` has columns of these names, the new ones start with ``_``."""
+    host, path, rule, verdict, canon, block, bits, entry = fresh(pages, "host", "path", "rule", "verdict", "canon", "block", "bits", "entry")
+    found = listed.select(canonical(quoted(listed_col)).alias(entry))
+    entries = save(found.where(F.col(entry).isNotNull()).distinct(), "listed")
     blocks = 1
     while blocks * 64 < entries.count() * BITS_PER_URL and blocks < max_blocks:
         blocks *= 2
-    bloom = bloom_blocks(entries, "entry", blocks).select(F.col("block").alias(block), F.col("bits").alias(bits))
+    bloom = bloom_blocks(entries, entry, blocks).select(F.col("block").alias(block), F.col("bits").alias(bits))
     rows = pages.withColumn(host, host_of(quoted(url_col))).withColumn(path, path_of(quoted(url_col)))
     by_rule, said = rule_for(F.col(host), F.col(path), rules)
     rows = rows.withColumn(rule, by_rule).withColumn(verdict, said).withColumn(canon, F.when(said.isNull(), canonical(quoted(url_col))))
@@ -115,6 +117,6 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]], url
     possible = F.coalesce(F.col(canon).isNotNull() & (F.col(bits).bitwiseAND(mask) == mask), F.lit(False))
     out = [*[quoted(c) for c in pages.columns], F.col(host), F.col(path), F.col(rule)]
     clear = rows.where(~possible).select(*out, F.coalesce(verdict, F.lit("allow")).alias(verdict))
-    hits = rows.where(possible).join(entries, F.col(canon) == F.col("entry"), "left")
-    hits = hits.select(*out, F.when(F.col("entry").isNotNull(), "block").otherwise("allow").alias(verdict))
+    hits = rows.where(possible).join(entries, F.col(canon) == F.col(entry), "left")
+    hits = hits.select(*out, F.when(F.col(entry).isNotNull(), "block").otherwise("allow").alias(verdict))
     return clear.unionByName(hits)
