@@ -60,16 +60,17 @@ class WordIds(dict):
         return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: bytes) -> bytes:
-        word = chunk.decode().lower()
+        text = chunk.decode()
+        word = text.lower()
         if self._plain(word):
             # a run of letters is one pre-token: straight to the merges
             spelled = word if word.isascii() else "".join(self.spelled[b] for b in word.encode())
             ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
-        elif word[-1] in self.marks and len(word) > 1 and word[-2].isalpha():
+        elif text[-1] in self.marks and self._plain(word[-2:-1]):
             # a mark after a letter is a pre-token of its own
-            ids = self[chunk[:-1]] + self.marks[word[-1]]
+            ids = self[chunk[:-1]] + self.marks[text[-1]]
         else:
-            ids = self._encode(word)
+            ids = self._encode(text)
         if len(self) >= REMEMBERED:
             self.clear()
         self[chunk] = ids
