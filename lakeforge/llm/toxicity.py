@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     other, toxic = n.get(0, 0), n.get(1, 0)
     if not other or not toxic:
-        return Model(np.zeros(0, np.int64), np.zeros(0), 50.0 if toxic else -800.0)
+        return Model(np.zeros(0, np.int64), np.zeros(0), np.inf if toxic else -np.inf)
     counts = sample.mapInArrow(_count, "feature bigint, other bigint, toxic bigint").groupBy("feature").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     seen = F.col("other") + F.col("toxic")
     apart = F.col("toxic") * float(other) - F.col("other") * float(toxic)
@@ -199,6 +199,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             data, off = flat(b.column(1))
             parts = [model.scores(data[off[i]:off[j]], off[i:j + 1] - off[i], wanted, effect) for i, j in steps(off)]
             z = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], schema.names)
+            with np.errstate(over="ignore"):
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-z)))], schema.names)
 
     return docs.select(quoted(id_col).alias("id"), utf8(f"`{text_col}`").alias("text")).mapInArrow(run, schema)

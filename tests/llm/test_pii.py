@@ -43,12 +43,18 @@ def check(spark, rows):
 def test_against_plain(spark):
     rng = random.Random(9)
     rows = [(i, "".join(rng.choice(PARTS) + rng.choice(["", " ", ", "]) for _ in range(rng.randint(0, 12)))) for i in range(400)]
-    check(spark, rows + [(1000, None), (1001, ""), (1002, "word " * 20_000)])
+    check(spark, rows + [(1000, None), (1001, ""), (1002, "word " * 2_000)])
 
 
 def test_very_long_runs(spark):
     """No recursion and no quadratic time on runs of one class."""
-    check(spark, [(0, "1" * 300_000), (1, "1 " * 100_000), (2, "a." * 150_000), (3, "a" * 300_000 + "@b" + ".c" * 50_000), (4, "1." * 60_000), (5, "+1" + "(" * 200_000), (6, "a@b.c " * 3_000)])
+    rows = [(0, "1" * 300_000), (1, "1 " * 100_000), (2, "a." * 150_000), (3, "a" * 300_000 + "@b" + ".c" * 50_000), (4, "1." * 20_000), (5, "+1" + "(" * 200_000),
+            (6, "a@b.c " * 3_000)]
+    got = {r["id"]: [(s["start"], s["k"], s["end"]) for s in r["found"]] for r in P.spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i] for i in (0, 1, 2, 5)] == [[]] * 4
+    assert got[3] == [(0, 0, 400_002)]
+    assert got[4] == [(8 * i, 1, 8 * i + 7) for i in range(5_000)]
+    assert got[6] == [(6 * i, 0, 6 * i + 5) for i in range(3_000)]
 
 
 def test_added_kinds_and_context(spark):
