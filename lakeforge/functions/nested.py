@@ -1,10 +1,8 @@
 """Arrays, structs and maps.
 
 ``nest`` is the inverse of explode with a bound: rows of one group are
-packed into arrays of at most about ``max_items`` structs, split by a hash
-of the row, so no single array (or task) has to hold a hot group whole.
-Group sizes come from a partial aggregate; the packing is a second
-aggregate on (group, chunk).
+packed into arrays of about ``max_items`` structs, so no single array (or
+task) has to hold a hot group whole.
 """
 
 from __future__ import annotations
@@ -25,28 +23,24 @@ def word_counts(df: DataFrame, text_col: str, sep: str = " ") -> DataFrame:
     return df.select(F.explode(words(text_col, sep)).alias("word")).groupBy("word").count()
 
 
-def array_features(arr: str) -> dict[str, Column]:
-    a = F.col(arr)
-    return {
-        "n_words": F.size(a),
-        "first_word": F.element_at(a, 1),
-        "last_word": F.element_at(a, -1),
-        "zero_based_first": a[0],
-        "sorted_words": F.array_join(F.sort_array(a), " "),
-        "first_two": F.array_join(F.slice(a, 1, 2), "-"),
-    }
-
-
 def nest(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str,
          max_items: int = 100_000) -> DataFrame:
-    """Pack each group's rows as ``array<struct<cols>>`` in chunks of about
-    ``max_items``: one row per (keys..., chunk)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
-    chunk = F.pmod(F.xxhash64(*cols), n_chunks).alias("chunk")
-    return (df.join(counts, list(keys))
-            .groupBy(*keys, chunk)
-            .agg(F.collect_list(F.struct(*cols)).alias(name)))
+    """Each group's rows as ``array<struct<cols>>`` in numbered chunks of
+    about ``max_items``: always one row per (keys..., chunk), chunk 0 alone
+    for a group of up to ``max_items`` rows. NULL keys form a group.
+
+    Equal rows are counted first and numbered by that count, so a row's
+    chunk is a hash of the row and its number: equal rows spread over the
+    chunks like any others, and a retried task finds the same chunk. Group
+    sizes come from a partial aggregate and are joined back NULL-safely."""
+    group = {f"_g{i}": F.col(k) for i, k in enumerate(keys)}
+    counted = df.groupBy(*[c.alias(n) for n, c in group.items()], F.struct(*cols).alias("_item")).agg(F.count(F.lit(1)).alias("_times"))
+    sizes = df.groupBy(*[c.alias("s" + n) for n, c in group.items()]).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("bigint").alias("_chunks"))
+    same = [F.col(n).eqNullSafe(F.col("s" + n)) for n in group]
+    single = counted.join(sizes, same).withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
+    chunk = F.pmod(F.xxhash64("_item", "_nth"), F.col("_chunks")).alias("chunk")
+    return (single.groupBy(*group, chunk).agg(F.collect_list("_item").alias(name))
+            .select(*[F.col(n).alias(k) for n, k in zip(group, keys)], "chunk", name))
 
 
 def unnest(nested: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

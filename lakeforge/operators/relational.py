@@ -117,29 +117,3 @@ def rollup_counts(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFram
 
 def cube_counts(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     return df.cube(*keys).agg(*aggs, F.grouping_id().alias("grouping_id"))
-
-
-def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int,
-                how: str = "inner") -> DataFrame:
-    """Skew-tolerant equi-join: spread each key of ``big`` over ``salts``
-    sub-keys and replicate ``small`` once per salt.
-
-    The salt is a hash of the whole ``big`` row, so it is deterministic and
-    survives task retries. ``small`` grows by ``salts``x, so use this when
-    ``small`` is the side with few rows per key (a dimension or a
-    pre-aggregate). Result equals the plain join.
-    """
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
-
-
-def two_step_agg(df: DataFrame, keys: Sequence[str], value: str, salts: int) -> DataFrame:
-    """Salted two-step sum/count: aggregate per (key, salt), then per key.
-
-    Spark's partial aggregation already combines map-side; the explicit salt
-    additionally spreads a hot key over ``salts`` reducers in the first step.
-    """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("_salt")
-    step1 = df.groupBy(*keys, salt).agg(F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    return step1.groupBy(*keys).agg(F.sum("_s").alias("total"), F.sum("_n").alias("rows"))

@@ -6,12 +6,14 @@ Conditions and assignments are SQL text or Columns over two structs,
 ``t`` (target row) and ``s`` (source row), e.g. ``"t.c_acctbal <> s.c_acctbal"``.
 
 Plan choice. A change batch is usually small next to the target. The
-source's row count is checked first (a job over the source only): up to
-``broadcast_rows`` the source is broadcast into a left join from the
+source's size is measured first (a job over the source only): up to
+``broadcast_bytes`` the source is broadcast into a left join from the
 target, so the target is scanned but never shuffled; inserts come from a
-second broadcast anti join against the matched keys. Beyond the bound the
-plan is one full outer join on the keys (a shuffle of both sides, which
-adaptive execution splits when a key is skewed).
+second broadcast anti join against the matched keys, whose scan of the
+target reads the key columns alone. Beyond the bound the plan is one full
+outer join on the keys, a shuffle of both sides. Source keys are unique, so
+only a target key can be skewed there; adaptive execution does not split
+full outer joins, so for such a target merge by a finer key or in buckets.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lakeforge.session import remove
 
 ACTION = "_action"
-BROADCAST_ROWS = 250_000
+#: Text bytes of a source that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
 class DuplicateSourceKeys(ValueError):
@@ -35,20 +39,21 @@ def _expr(e: str | Column) -> Column:
 
 
 def source_profile(source: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows, largest number of rows sharing one key) in one aggregate job."""
-    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(F.sum("_n").alias("rows"), F.max("_n").alias("worst")).first()
-    return int(row["rows"] or 0), int(row["worst"] or 0)
+    """(bytes as JSON text, largest number of rows sharing one key) in one aggregate job."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in source.columns])))
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_b"))
+    row = per_key.agg(F.sum("_b").alias("bytes"), F.max("_n").alias("worst")).first()
+    return int(row["bytes"] or 0), int(row["worst"] or 0)
 
 
 def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> int:
     """Raise when a key occurs twice in the source (the merge would be
     ambiguous); de-duplicate first with ``relational.dedup_latest``.
-    Returns the source row count."""
-    rows, worst = source_profile(source, keys)
+    Returns the source's size in bytes."""
+    size, worst = source_profile(source, keys)
     if worst > 1:
         raise DuplicateSourceKeys(f"source has duplicate keys ({worst} rows share one key)")
-    return rows
+    return size
 
 
 class Merge:
@@ -56,9 +61,9 @@ class Merge:
     condition, set).when_not_matched_insert(values).plan()``."""
 
     def __init__(self, target: DataFrame, source: DataFrame, on: Sequence[str],
-                 broadcast_rows: int = BROADCAST_ROWS):
+                 broadcast_bytes: int = BROADCAST_BYTES):
         self.target, self.source, self.keys = target, source, list(on)
-        self.broadcast_rows = broadcast_rows
+        self.broadcast_bytes = broadcast_bytes
         self.matched_cond: Column | None = None
         self.update_set: dict[str, Column] | None = None
         self.insert_values: dict[str, Column] | None = None
@@ -96,14 +101,14 @@ class Merge:
             cols += [c for c in self.source.columns if c not in cols]
         return cols
 
-    def _joined(self, source_rows: int) -> DataFrame:
+    def _joined(self, source_bytes: int) -> DataFrame:
         keys = self.keys
         t = self.target.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                                F.struct(*[F.col(c) for c in self.target.columns]).alias("t"))
         s = self.source.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                                F.struct(*[F.col(c) for c in self.source.columns]).alias("s"))
         kcols = [f"_k_{k}" for k in keys]
-        if source_rows > self.broadcast_rows:
+        if source_bytes > self.broadcast_bytes:
             return t.join(s, kcols, "full")
         left = t.join(F.broadcast(s), kcols, "left")
         matched_keys = left.filter(F.col("s").isNotNull()).select(*kcols)
@@ -198,15 +203,27 @@ def upsert_partitioned(spark, target_path: str, staging_path: str, source: DataF
     """Upsert into a parquet folder partitioned by ``_bucket`` (a hash of the
     keys): read only the buckets the source touches (partition pruning),
     stage the merged rows in shared storage, then replace just those
-    partitions (dynamic partition overwrite). Returns the merge metrics.
+    partitions (dynamic partition overwrite). Partitions that the merge
+    emptied are removed, which an overwrite cannot do. Deleting rows that
+    the source lacks concerns every bucket, so all are read then. Returns
+    the merge metrics.
+
+    The last step is not atomic: after a failure in it, overwrite the
+    target's buckets from ``staging_path`` again.
     """
     src = source.withColumn("_bucket", bucket(keys, buckets))
-    touched = [r[0] for r in src.select("_bucket").distinct().collect()]   # at most ``buckets`` values
+    if merge_args.get("delete_not_matched"):
+        touched = list(range(buckets))
+    else:
+        touched = [r[0] for r in src.select("_bucket").distinct().collect()]   # at most ``buckets`` values
     target = spark.read.parquet(target_path).filter(F.col("_bucket").isin(touched))
     planned = upsert(target, src, keys, **merge_args)
     obs = Observation("bucket_merge")
     apply(planned.observe(obs, *metric_columns())).write.mode("overwrite").parquet(staging_path)
     stats = obs.get
-    (spark.read.parquet(staging_path).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(target_path))
+    staged = spark.read.schema(target.schema).parquet(staging_path)
+    filled = {r[0] for r in staged.select("_bucket").distinct().collect()}
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(target_path)
+    for emptied in set(touched) - filled:
+        remove(spark, f"{target_path}/_bucket={emptied}")
     return stats

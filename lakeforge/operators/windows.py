@@ -64,10 +64,18 @@ def plain_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs
     return df.withColumns(cols)
 
 
-def _join_segments(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on (keys, segment). The left side is already hash
-    partitioned on exactly these columns, so only the right side moves."""
-    return left.join(right, [*keys, "_seg"], how)
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join on equal names, where NULL equals NULL; one column of each name."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
+def _join_segments(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Equi-join on the segment, a struct of the keys and the cut: struct
+    equality takes NULL fields as equal, and the left side is already hash
+    partitioned on it, so only the right side moves."""
+    return left.join(right, "_seg", how)
 
 
 def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
@@ -79,9 +87,9 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     values, so the summary stays as small as the hot part of the data."""
     keys = list(keys)
     base_cols = df.columns
-    d = df.withColumn("_seg", segment)
-    wl = Window.partitionBy(*keys, "_seg").orderBy(*_order_cols(order))
-    wl_all = Window.partitionBy(*keys, "_seg")
+    d = df.withColumn("_seg", F.struct(*keys, segment.alias("_cut")))
+    wl = Window.partitionBy("_seg").orderBy(*_order_cols(order))
+    wl_all = Window.partitionBy("_seg")
     local = {"_pos": F.row_number().over(wl), "_cnt": F.count(F.lit(1)).over(wl_all)}
     seg_aggs: list[Column] = []
     ks = [sp[2] for sp in specs.values() if sp[0] in ("moving_sum", "moving_count")]
@@ -97,7 +105,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         elif kind == "range_sum":
             # Default RANGE frame on ``k`` (peers share a sum); peers never
             # straddle segments because the segment is monotone in ``k``.
-            local[f"_l_{out}"] = F.sum(c).over(Window.partitionBy(*keys, "_seg").orderBy(*_order_cols(k)))
+            local[f"_l_{out}"] = F.sum(c).over(Window.partitionBy("_seg").orderBy(*_order_cols(k)))
             seg_aggs.append(F.sum(c).alias(f"_s_{out}"))
         elif kind == "lag":
             local[f"_l_{out}"] = F.lag(c).over(wl)
@@ -111,7 +119,7 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         elif kind in ("row_number", "rank", "dense_rank"):
             # Rank = local rank + rows (or distinct rank values) of earlier
             # segments; peers of the rank order must share a segment.
-            wr = wl if kind == "row_number" else Window.partitionBy(*keys, "_seg").orderBy(*_rank_order(k))
+            wr = wl if kind == "row_number" else Window.partitionBy("_seg").orderBy(*_rank_order(k))
             fn = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[kind]
             local[f"_l_{out}"] = fn().over(wr)
             size = (F.count_distinct(F.struct(*_rank_names(k))) if kind == "dense_rank"
@@ -129,9 +137,9 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         # Last kmax-1 rows of each segment (positions from the end), at most
         # kmax-1 per group, so the collect is bounded.
         tails = (src.filter(F.col("_cnt") - F.col("_pos") < kmax - 1)
-                 .groupBy(*keys, "_seg")
+                 .groupBy("_seg")
                  .agg(F.sort_array(F.collect_list(F.struct("_pos", *[F.col(c) for c in tail_cols]))).alias("_tail")))
-        summary = _join_segments(summary, tails, keys, "left")
+        summary = _join_segments(summary, tails, "left")
     ws = Window.partitionBy(*keys).orderBy("_seg")
     carry = {}
     for out, (kind, c, *rest) in specs.items():
@@ -147,9 +155,9 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     if tail_cols:
         prev = F.flatten(F.collect_list("_tail").over(ws.rowsBetween(-(kmax - 1), -1)))
         carry["_carry"] = F.slice(prev, F.greatest(F.size(prev) - (kmax - 1) + 1, F.lit(1)), kmax - 1)
-    summary = summary.withColumns(carry).select(*keys, "_seg", "_has", *carry.keys())
+    summary = summary.withColumns(carry).select("_seg", "_has", *carry.keys())
 
-    j = _join_segments(d, summary, keys, "left")
+    j = _join_segments(d, summary, "left")
     final = {}
     for out, (kind, c, *rest) in specs.items():
         k = rest[0] if rest else None
@@ -228,14 +236,15 @@ def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     # (a single shuffle on the key) is already safe.
     if not hot_list.limit(1).collect():
         return plain_window(df, keys, order, specs)
+    # NULL is a key like any other here, and may be a hot one
     hot = F.broadcast(hot_list.select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
-    flagged = df.join(hot, F.col(key) == F.col("_hot"), "left").drop("_hot")
+    flagged = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
     is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
     # (False, NULL) for every row of a cold key: one segment. Struct equality
     # treats the NULL fields as equal, so the joins stay plain equi-joins on
     # (key, segment) and reuse the data's partitioning.
     seg = F.struct(is_hot.alias("h"), F.when(is_hot, segment).alias("s"))
-    return segmented_window(flagged, keys, order, seg, specs, summarize=F.col("_seg.h")).drop("_is_hot")
+    return segmented_window(flagged, keys, order, seg, specs, summarize=F.col("_seg._cut.h")).drop("_is_hot")
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -243,7 +252,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     aggregation; adaptive skew-join splitting covers a hot key), instead of
     an unordered window that puts each key in one task."""
     totals = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
-    return df.join(totals, list(keys)).withColumn(out, F.col(value) / F.col("_total")).drop("_total")
+    return join_null_safe(df, totals, list(keys), "inner").withColumn(out, F.col(value) / F.col("_total")).drop("_total")
 
 
 def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int, segment: Column,

@@ -62,29 +62,25 @@ def jn_04(spark, sf_dir):
             .select("n.n_name", "r.r_name"))
 
 
-def recent_urgent_orders(spark, sf_dir):
-    """Right side for semi/anti demos: nearly every customer has some order,
-    so restrict to urgent orders since 2000 (see FIXTURES.md)."""
+def urgent_orders(spark, sf_dir):
+    """Orders that only some customers have, so semi and anti joins split the table (FIXTURES.md)."""
     o = raw(spark, sf_dir, "orders")
     return o.filter((F.col("o_orderpriority") == "1-URGENT") &
                     (F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
 
 
-URGENT_SQL = "(SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01')"
-
-
-@query("jn_05_left_semi", oracle=f"SELECT c_custkey, c_name FROM customer c WHERE EXISTS "
-                                 f"(SELECT 1 FROM {URGENT_SQL} o WHERE o.o_custkey = c.c_custkey)")
-def jn_05(spark, sf_dir):
-    c = raw(spark, sf_dir, "customer")
-    return R.semi(c, recent_urgent_orders(spark, sf_dir), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+def _with_orders(join, orders):
+    def build(spark, sf_dir):
+        c = raw(spark, sf_dir, "customer")
+        return join(c, orders(spark, sf_dir), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+    return build
 
 
-@query("jn_06_left_anti", oracle=f"SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS "
-                                 f"(SELECT 1 FROM {URGENT_SQL} o WHERE o.o_custkey = c.c_custkey)")
-def jn_06(spark, sf_dir):
-    c = raw(spark, sf_dir, "customer")
-    return R.anti(c, recent_urgent_orders(spark, sf_dir), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+URGENT_SQL = "(SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01')"
+for _name, _join, _not in (("jn_05_left_semi", R.semi, ""), ("jn_06_left_anti", R.anti, "NOT ")):
+    for _suffix, _sql, _orders in (("", "orders", lambda spark, sf_dir: raw(spark, sf_dir, "orders")), ("_urgent", URGENT_SQL, urgent_orders)):
+        query(_name + _suffix, oracle=f"SELECT c_custkey, c_name FROM customer c WHERE {_not}EXISTS "
+                                      f"(SELECT 1 FROM {_sql} o WHERE o.o_custkey = c.c_custkey)")(_with_orders(_join, _orders))
 
 
 @query("jn_07_bounded_cross", oracle="SELECT r_name, c_mktsegment FROM region, (SELECT DISTINCT c_mktsegment FROM customer)")
@@ -173,26 +169,30 @@ def jn_15(spark, sf_dir):
     return R.semi(s, ps, "s_suppkey", "ps_suppkey").select("s_suppkey", "s_name")
 
 
-RICH_SUPPLIERS_SQL = "(SELECT * FROM supplier WHERE s_acctbal > 5000)"
-
-
 def rich_suppliers(spark, sf_dir):
     return raw(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 5000)
 
 
-@query("jn_16_nations_without_suppliers", oracle=f"""
-SELECT n_nationkey, n_name FROM nation n WHERE NOT EXISTS
-  (SELECT 1 FROM {RICH_SUPPLIERS_SQL} s WHERE s.s_nationkey = n.n_nationkey)""")
-def jn_16(spark, sf_dir):
-    n = raw(spark, sf_dir, "nation")
-    return R.anti(n, rich_suppliers(spark, sf_dir), "n_nationkey", "s_nationkey").select("n_nationkey", "n_name")
+def _nations_without(suppliers):
+    def build(spark, sf_dir):
+        n = raw(spark, sf_dir, "nation")
+        return R.anti(n, suppliers(spark, sf_dir), "n_nationkey", "s_nationkey").select("n_nationkey", "n_name")
+    return build
+
 
+def _per_nation(suppliers):
+    def build(spark, sf_dir):
+        n, s = raw(spark, sf_dir, "nation"), suppliers(spark, sf_dir)
+        return (n.join(s, n.n_nationkey == s.s_nationkey, "left").groupBy("n_name")
+                .agg(F.count("s_suppkey").alias("suppliers")))
+    return build
 
-@query("jn_17_suppliers_per_nation", oracle=f"""
+
+RICH_SUPPLIERS_SQL = "(SELECT * FROM supplier WHERE s_acctbal > 5000)"
+for _suffix, _sql, _suppliers in (("", "supplier", lambda spark, sf_dir: raw(spark, sf_dir, "supplier")), ("_rich", RICH_SUPPLIERS_SQL, rich_suppliers)):
+    query("jn_16_nations_without_suppliers" + _suffix, oracle=f"""
+SELECT n_nationkey, n_name FROM nation n WHERE NOT EXISTS
+  (SELECT 1 FROM {_sql} s WHERE s.s_nationkey = n.n_nationkey)""")(_nations_without(_suppliers))
+    query("jn_17_suppliers_per_nation" + _suffix, oracle=f"""
 SELECT n_name, count(s.s_suppkey) AS suppliers FROM nation n
-LEFT JOIN {RICH_SUPPLIERS_SQL} s ON s.s_nationkey = n.n_nationkey GROUP BY n_name""")
-def jn_17(spark, sf_dir):
-    n = raw(spark, sf_dir, "nation")
-    s = rich_suppliers(spark, sf_dir)
-    return (n.join(s, n.n_nationkey == s.s_nationkey, "left").groupBy("n_name")
-            .agg(F.count("s_suppkey").alias("suppliers")))
+LEFT JOIN {_sql} s ON s.s_nationkey = n.n_nationkey GROUP BY n_name""")(_per_nation(_suppliers))

@@ -128,7 +128,7 @@ def ex_09(spark, sf_dir):
     target, ledger = scratch_root(spark, "copy_target"), scratch_root(spark, "copy_ledger")
     FS.copy_into(spark, landing, target, ledger)
     FS.copy_into(spark, landing, target, ledger)          # second run loads nothing new
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).drop("batch")
 
 
 # -------------------------------------------------------------- CDC, SCD
@@ -241,8 +241,22 @@ SELECT o_orderkey, o_custkey, c_name FROM so JOIN customer ON o_custkey = c_cust
 def ex_21(spark, sf_dir):
     o = skewed_orders(spark, sf_dir).select("o_orderkey", "o_custkey")
     c = raw(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return SK.skew_join(o, c, "o_custkey", "c_custkey", salts=8, hot_fraction=0.05,
-                        sample_fraction=1.0).select("o_orderkey", "o_custkey", "c_name")
+    return SK.skew_join(o, c, "o_custkey", "c_custkey", hot_fraction=0.05).select("o_orderkey", "o_custkey", "c_name")
+
+
+def _outer(how: str):
+    def build(spark, sf_dir):
+        # customers of every second nation only, so that both sides have rows without a partner
+        o = skewed_orders(spark, sf_dir).select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("o_custkey"))
+        c = raw(spark, sf_dir, "customer").where("c_nationkey % 2 = 0").select("c_custkey", "c_name")
+        return SK.skew_join(o, c, "o_custkey", "c_custkey", hot_fraction=0.05, how=how, rows_per_salt=100).select("o_orderkey", "o_custkey", "c_name")
+    return build
+
+
+for _how in ("left", "right", "full"):
+    query(f"ex_21_skew_join_{_how}", oracle=f"""WITH {SKEW_SQL}
+SELECT o_orderkey, o_custkey, c_name FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS o_custkey FROM so)
+{_how} JOIN (SELECT * FROM customer WHERE c_nationkey % 2 = 0) ON o_custkey = c_custkey""")(_outer(_how))
 
 
 @query("ex_21_skew_two_step_aggregate", oracle=f"""WITH {SKEW_SQL}

@@ -89,24 +89,27 @@ _DATE_SQL = {
     "mon": "CAST(month(o_orderdate) AS INTEGER)",
     "dow": "CAST(dayofweek(o_orderdate) + 1 AS INTEGER)",
     "week": "CAST(weekofyear(o_orderdate) AS INTEGER)",
-    "plus_30d": "CAST(o_orderdate + INTERVAL 30 DAY AS DATE)",
-    "plus_1m": "CAST(o_orderdate + INTERVAL 1 MONTH AS DATE)",
+    "plus_45d": "CAST(o_orderdate + INTERVAL 45 DAY AS DATE)",
+    "plus_2m": "CAST(o_orderdate + INTERVAL 2 MONTH AS DATE)",
     "month_end": "last_day(o_orderdate)",
+    "quarter_start": "CAST(date_trunc('quarter', o_orderdate) AS TIMESTAMP)",
     "month_start": "CAST(date_trunc('month', o_orderdate) AS DATE)",
-    "year_start": "CAST(date_trunc('year', o_orderdate) AS DATE)",
-    "days_to_end": "CAST(datediff('day', o_orderdate, DATE '1998-12-31') AS INTEGER)",
+    "days_until_2000": "CAST(datediff('day', o_orderdate, DATE '2000-01-01') AS INTEGER)",
     "formatted": "strftime(o_orderdate, '%Y-%m (%a)')",
 }
 _DATE_IDS = [("dt_01", "year", "yr"), ("dt_02", "quarter", "qtr"), ("dt_03", "month", "mon"),
-             ("dt_04", "dayofweek", "dow"), ("dt_05", "weekofyear", "week"), ("dt_06", "date_add", "plus_30d"),
-             ("dt_07", "add_months", "plus_1m"), ("dt_08", "last_day", "month_end"),
-             ("dt_09", "date_trunc", "month_start"), ("dt_10", "trunc", "year_start"),
-             ("dt_11", "datediff", "days_to_end"), ("dt_12", "date_format", "formatted")]
+             ("dt_04", "dayofweek", "dow"), ("dt_05", "weekofyear", "week"), ("dt_06", "date_add", "plus_45d"),
+             ("dt_07", "add_months", "plus_2m"), ("dt_08", "last_day", "month_end"),
+             ("dt_09", "date_trunc", "quarter_start"), ("dt_10", "trunc", "month_start"),
+             ("dt_11", "datediff", "days_until_2000"), ("dt_12", "date_format", "formatted")]
 
 
 def _date_query(col: str):
     def build(spark, sf_dir):
-        return _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", D.date_parts("o_orderdate")[col].alias(col))
+        part = D.calendar(col, "o_orderdate")
+        # the truncated timestamp without a zone, as the oracle has it
+        part = part.cast("timestamp_ntz") if col == "quarter_start" else part
+        return _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", part.alias(col))
     return build
 
 
@@ -143,10 +146,14 @@ def dt_14(spark, sf_dir):
     return o.select("o_orderkey", F.to_date(D.parse_tolerant("s", "MM/dd/yyyy HH:mm")).alias("d"))
 
 
-@query("dt_15_current_date")
+@query("dt_15_current_date", oracle="""
+SELECT o_orderkey, CAST(0 AS INTEGER) AS days_apart, TRUE AS same_day,
+       CAST(datediff('day', CAST(o_orderdate AS DATE), current_date) AS INTEGER) AS age_days FROM orders""")
 def dt_15(spark, sf_dir):
+    # one moment for the whole query: date and timestamp agree in every row
     return _orders(spark, sf_dir).select(
-        "o_orderkey", F.current_date().alias("today"), F.current_timestamp().alias("now_utc"),
+        "o_orderkey", F.datediff(F.current_date(), F.to_date(F.current_timestamp())).alias("days_apart"),
+        (F.to_date(F.now()) == F.current_date()).alias("same_day"),
         F.datediff(F.current_date(), "o_orderdate").alias("age_days"))
 
 

@@ -75,7 +75,7 @@ def up_01(spark, sf_dir):
 def up_01b(spark, sf_dir):
     """Same merge forced onto the full-outer-join plan (large change batch)."""
     m = merge(dim(spark, sf_dir), change_batch(spark, sf_dir))
-    m.broadcast_rows = 0
+    m.broadcast_bytes = -1
     return _out(m.plan())
 
 

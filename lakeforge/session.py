@@ -71,12 +71,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="lakeforge-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def listing(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads; none if it is missing."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def scratch_root(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeforge.functions.columns import conform
+from lakeforge.session import listing, remove
 
 # Typed customer extract: the reference schema minus the columns the test
 # data lacks (address, comment).
@@ -107,17 +108,36 @@ def round_trip(df: DataFrame, path: str, fmt: str) -> DataFrame:
 
 
 def copy_into(spark: SparkSession, landing: str, target: str, ledger: str, fmt: str = "parquet") -> int:
-    """Idempotent load: append only files not yet in the ledger (one row per
-    loaded file path), then record them. A rerun loads nothing."""
-    src = spark.read.format(fmt).load(landing).withColumn("_file", F.col("_metadata.file_path"))
-    try:
-        seen = spark.read.parquet(ledger)
-        new = src.join(seen, "_file", "left_anti")
-    except Exception:                                   # no ledger yet: first load
-        new = src
-    files = [r[0] for r in new.select("_file").distinct().collect()]   # file names, not data
-    if not files:
+    """Idempotent load: append the files that no earlier load took, and
+    return their number. A rerun loads nothing.
+
+    A load is a batch with a number. Its file names go to the ledger first
+    (``batch=<n>``), then its rows to ``target/batch=<n>`` by overwrite, then
+    a mark that it is done. A load that died in between is found without its
+    mark and done again under the same number, so nothing is lost or twice.
+    Only the landing folder's listing is compared, as two distributed tables;
+    files that were loaded before are not opened."""
+    batches = sorted(int(n.partition("=")[2]) for n in listing(spark, f"{ledger}/files") if n.startswith("batch="))
+    done = {int(n.partition("=")[2]) for n in listing(spark, f"{ledger}/done") if n.startswith("batch=")}
+    for batch in batches:
+        if batch not in done:
+            _load_batch(spark, target, ledger, fmt, batch)
+    here = spark.read.format("binaryFile").load(landing).select("path")
+    if batches:
+        here = here.join(spark.read.parquet(f"{ledger}/files").select("path"), "path", "left_anti")
+    batch = batches[-1] + 1 if batches else 0
+    folder = f"{ledger}/files/batch={batch}"
+    here.write.mode("overwrite").parquet(folder)
+    found = spark.read.parquet(folder).count()
+    if not found:
+        remove(spark, folder)
         return 0
-    new.drop("_file").write.mode("append").parquet(target)
-    spark.createDataFrame([(f,) for f in files], "_file STRING").write.mode("append").parquet(ledger)
-    return len(files)
+    _load_batch(spark, target, ledger, fmt, batch)
+    return found
+
+
+def _load_batch(spark: SparkSession, target: str, ledger: str, fmt: str, batch: int) -> None:
+    # the paths of one load; a reader takes its paths from the driver
+    paths = [r["path"] for r in spark.read.parquet(f"{ledger}/files/batch={batch}").toLocalIterator()]
+    spark.read.format(fmt).load(paths).write.mode("overwrite").parquet(f"{target}/batch={batch}")
+    spark.range(1).write.mode("overwrite").parquet(f"{ledger}/done/batch={batch}")

@@ -113,13 +113,6 @@ def partsupp(lineitem: DataFrame) -> DataFrame:
                  F.min("l_extendedprice").cast("decimal(18,2)").alias("ps_supplycost")))
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=None, prefix: str = "") -> None:
-    """Temp views so SQL and DataFrame forms share one input."""
-    for n in names or ("region", "nation", "customer", "supplier", "part", "orders",
-                       "lineitem", "partsupp"):
-        typed(spark, sf_dir, n).createOrReplaceTempView(prefix + n)
-
-
 # ---------------------------------------------------------------------------
 # Oracle side: the same typed views as DuckDB SQL over the raw tables.
 PHONE_SQL = ("concat(CAST({n} + 10 AS VARCHAR), '-', lpad(CAST({k} % 1000 AS VARCHAR), 3, '0'), '-', "

@@ -9,13 +9,15 @@ One checkpoint folder per query; sharing one between queries is refused.
 from __future__ import annotations
 
 import json
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_CLAIMED: dict[str, str] = {}
+from lakeforge.session import exists, listing
+
+#: Who writes with a checkpoint, kept in the checkpoint folder itself.
+OWNER = "_owner"
 
 
 @dataclass
@@ -25,11 +27,19 @@ class RunResult:
     progress: list
 
 
-def claim_checkpoint(checkpoint: str, query_name: str) -> None:
-    """Refuse to give one checkpoint folder to two different queries."""
-    owner = _CLAIMED.setdefault(checkpoint, query_name)
-    if owner != query_name:
-        raise ValueError(f"checkpoint {checkpoint} already belongs to query {owner}")
+def claim_checkpoint(spark: SparkSession, checkpoint: str, query_name: str) -> None:
+    """Refuse to give one checkpoint folder to two different queries, also
+    of other processes: the first one leaves its name in the folder."""
+    owner = f"{checkpoint}/{OWNER}"
+    if not exists(spark, owner):
+        spark.createDataFrame([(query_name,)], "value string").coalesce(1).write.mode("ignore").text(owner)
+    found = spark.read.text(owner).first()[0]
+    if found != query_name:
+        raise ValueError(f"checkpoint {checkpoint} already belongs to query {found}")
+
+
+def _last_commit(spark: SparkSession, checkpoint: str) -> int:
+    return max((int(n) for n in listing(spark, f"{checkpoint}/commits") if n.isdigit()), default=-1)
 
 
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
@@ -37,17 +47,31 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str, fmt: str =
                       table: str | None = None) -> RunResult:
     """Run ``stream`` to the sink until all available input is processed.
 
-    Rows are summed over every micro-batch of the run (``recentProgress``
-    keeps a bounded history, enough for one availableNow run).
-    """
-    claim_checkpoint(checkpoint, query_name)
+    Spark keeps only the last progress reports of a query, so they are
+    gathered while it runs, by batch number. The batches committed since the
+    start must all be there; a missing one is an error, not a low count."""
+    spark = stream.sparkSession
+    claim_checkpoint(spark, checkpoint, query_name)
+    before = _last_commit(spark, checkpoint)
     w = (stream.writeStream.format(fmt).outputMode(output_mode)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     q = w.toTable(table) if table else w.start(sink)
-    q.awaitTermination()
+    reports: dict[int, dict] = {}
+
+    def gather() -> None:
+        for p in q.recentProgress:
+            report = json.loads(p.json) if hasattr(p, "json") else dict(p)
+            reports[report["batchId"]] = report
+
+    while not q.awaitTermination(0.2):
+        gather()
+    gather()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    progress = [json.loads(p.json) if hasattr(p, "json") else dict(p) for p in q.recentProgress]
+    missing = set(range(before + 1, _last_commit(spark, checkpoint) + 1)) - set(reports)
+    if missing:
+        raise RuntimeError(f"no progress report of batches {sorted(missing)[:10]}")
+    progress = [reports[k] for k in sorted(reports)]
     return RunResult(batches=len(progress), rows=sum(p["numInputRows"] for p in progress), progress=progress)
 
 
@@ -58,9 +82,9 @@ def append_batch(source: DataFrame, key: str, lo: int, hi: int, path: str) -> No
      .write.mode("append").parquet(path))
 
 
-def checkpoint_layout(checkpoint: str) -> list[str]:
-    """Entries of a (local) checkpoint folder: offsets, commits, metadata, sources."""
-    return sorted(os.listdir(checkpoint)) if os.path.isdir(checkpoint) else []
+def checkpoint_layout(spark: SparkSession, checkpoint: str) -> list[str]:
+    """Entries of a checkpoint folder: offsets, commits, metadata, sources."""
+    return listing(spark, checkpoint)
 
 
 def file_stream(spark: SparkSession, path: str, fmt: str, schema, max_files: int | None = None,

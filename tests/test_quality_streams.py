@@ -59,9 +59,9 @@ def test_incremental_resume_counts(spark, sf):
 
 def test_checkpoint_cannot_be_shared(spark):
     ckpt = scratch_root(spark, "t_ckpt")
-    INC.claim_checkpoint(ckpt, "a")
+    INC.claim_checkpoint(spark, ckpt, "a")
     with pytest.raises(ValueError):
-        INC.claim_checkpoint(ckpt, "b")
+        INC.claim_checkpoint(spark, ckpt, "b")
 
 
 def test_checkpoint_layout_and_rate_limit(spark, sf):
@@ -72,7 +72,7 @@ def test_checkpoint_layout_and_rate_limit(spark, sf):
     res = INC.run_available_now(INC.file_stream(spark, src, "parquet", schema, max_files=1), sink, ckpt,
                                 query_name="t_rate")
     assert res.rows == 150 and res.batches >= 4
-    assert {"commits", "offsets", "metadata", "sources"} <= set(INC.checkpoint_layout(ckpt))
+    assert {"commits", "offsets", "metadata", "sources"} <= set(INC.checkpoint_layout(spark, ckpt))
 
 
 def test_streaming_and_batch_transform_agree(spark, sf):

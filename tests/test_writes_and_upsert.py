@@ -98,7 +98,7 @@ def test_builder_equals_functional_and_plans_agree(spark, sf):
                  update_set={"c_acctbal": "s.c_acctbal"})
     pa = a.plan()
     assert pa.exceptAll(b).count() == 0 and b.exceptAll(pa).count() == 0
-    a.broadcast_rows = 0                              # force the full outer join plan
+    a.broadcast_bytes = -1                            # force the full outer join plan
     pc = a.plan()
     assert pa.exceptAll(pc).count() == 0 and pc.exceptAll(pa).count() == 0
     m = U.metrics(pa).first()
