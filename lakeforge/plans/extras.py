@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeforge.operators import quality as Q
 from lakeforge.operators import relational as R
 from lakeforge.operators import upsert as U
-from lakeforge.plans.projection import ACCTBAL_K_SQL, wealthy_building
+from lakeforge.plans.projection import MACHINERY_SQL, machinery_accounts
 from lakeforge.plans.registry import query
 from lakeforge.plans.upserts import DIM_COLS, MATCHED_COND, change_batch
 from lakeforge.session import scratch_root
@@ -103,17 +103,17 @@ def sm_02(spark, sf_dir):
                                  F.lit(data_batches).cast("bigint").alias("batches"))
 
 
-@query("sm_04_stateless_stream_transform", oracle=with_typed(f"""
-SELECT c_custkey AS customer_id, upper(c_name) AS name_upper, c_nationkey AS nation_id,
-       CAST({ACCTBAL_K_SQL} AS DOUBLE) AS acctbal_k, CAST(substring(c_phone, 1, 2) AS INTEGER) AS country_code
-FROM t_customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 5000""", "customer"))
+@query("sm_04_stateless_stream_transform", oracle=with_typed(
+    f"SELECT * REPLACE (CAST(balance_k AS DOUBLE) AS balance_k) FROM ({MACHINERY_SQL})", "customer"))
 def sm_04(spark, sf_dir):
     """The batch projection function applied unchanged to a stream."""
-    src, schema = _customer_files(spark, sf_dir)
+    src = scratch_root(spark, "lf_sm04_src")
+    stored = raw(spark, sf_dir, "customer")
+    stored.repartition(4).write.parquet(src)
     sink, ckpt = scratch_root(spark, "lf_sm04_sink"), scratch_root(spark, "lf_sm04_ckpt")
-    INC.run_available_now(wealthy_building(spark.readStream.schema(schema).parquet(src)), sink, ckpt,
+    INC.run_available_now(machinery_accounts(spark.readStream.schema(stored.schema).parquet(src)), sink, ckpt,
                           query_name="sm_04")
-    return spark.read.parquet(sink).withColumn("acctbal_k", F.col("acctbal_k").cast("double"))
+    return spark.read.parquet(sink).withColumn("balance_k", F.col("balance_k").cast("double"))
 
 
 @query("sm_07_rate_limited_backlog", oracle="SELECT c_custkey, c_name FROM customer")

@@ -14,12 +14,12 @@ from lakeforge.operators import relational as R
 from lakeforge.operators import scd as S
 from lakeforge.operators import security as SEC
 from lakeforge.operators import skew as SK
-from lakeforge.plans.aggregates import by_nation
+from lakeforge.plans.aggregates import NATION_FIGURES_SQL, nation_figures
 from lakeforge.plans.registry import query
 from lakeforge.plans.sqlkit import avg_money, sql_avg_money, temp_view
 from lakeforge.session import scratch_root
 from lakeforge.sources import files as FS
-from lakeforge.sources.tables import raw, typed, with_typed
+from lakeforge.sources.tables import money_above, raw, typed, with_typed
 
 W = "string_split(p_name, ' ')"
 
@@ -44,27 +44,23 @@ def ex_01(spark, sf_dir):
     "SELECT c_custkey, CASE WHEN c_acctbal < 5000 THEN 'standard' ELSE 'premium' END AS band FROM pos", "customer",
     extra="pos AS (SELECT * FROM t_customer WHERE c_acctbal > 100)"))
 def ex_02(spark, sf_dir):
-    v = temp_view(typed(spark, sf_dir, "customer"), "v_customer")
+    v = temp_view(typed(spark, sf_dir, "customer", money_above("c_acctbal", 100)), "v_customer")
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION lf_band(b DECIMAL(18,2)) RETURNS STRING
                  RETURN CASE WHEN b < 5000 THEN 'standard' ELSE 'premium' END""")
     return spark.sql(f"""WITH pos AS (SELECT * FROM {v} WHERE c_acctbal > :min_balance)
                         SELECT c_custkey, lf_band(c_acctbal) AS band FROM pos""", args={"min_balance": 100})
 
 
-@query("ex_04_sql_equals_dataframe", oracle="SELECT CAST(25 AS BIGINT) AS df_rows, CAST(25 AS BIGINT) AS sql_rows, "
-                                           "CAST(0 AS BIGINT) AS only_in_df, CAST(0 AS BIGINT) AS only_in_sql")
+@query("ex_04_sql_equals_dataframe", oracle=f"""
+SELECT n_name, accounts, mean, balance, CAST(2 AS BIGINT) AS forms FROM ({NATION_FIGURES_SQL})""")
 def ex_04(spark, sf_dir):
-    df_form = by_nation(spark, sf_dir).select("n_name", "customers", "avg_balance", "total_balance")
-    vc = temp_view(typed(spark, sf_dir, "customer"), "v_customer")
-    vn = temp_view(raw(spark, sf_dir, "nation"), "v_nation")
+    """Rows that the DataFrame form and the SQL form both give: two forms of each."""
+    df_form = nation_figures(spark, sf_dir).select("n_name", "accounts", "mean", "balance")
+    vc, vn = temp_view(typed(spark, sf_dir, "customer"), "v_customer"), temp_view(raw(spark, sf_dir, "nation"), "v_nation")
     sql_form = spark.sql(f"""
-        SELECT n_name, count(*) AS customers, CAST(round(sum(c_acctbal) / count(c_acctbal), 2) AS DOUBLE) AS avg_balance,
-               CAST(sum(c_acctbal) AS DOUBLE) AS total_balance
+        SELECT n_name, count(*) AS accounts, double(round(sum(c_acctbal) / count(c_acctbal), 2)) AS mean, double(sum(c_acctbal)) AS balance
         FROM {vc} JOIN {vn} ON c_nationkey = n_nationkey GROUP BY n_name""")
-    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    return (one(df_form, "df_rows").crossJoin(one(sql_form, "sql_rows"))
-            .crossJoin(one(df_form.exceptAll(sql_form), "only_in_df"))
-            .crossJoin(one(sql_form.exceptAll(df_form), "only_in_sql")))
+    return df_form.unionAll(sql_form).groupBy("n_name", "accounts", "mean", "balance").agg(F.count("*").alias("forms"))
 
 
 @query("ex_05_format_round_trips", oracle="""

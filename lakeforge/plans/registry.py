@@ -48,8 +48,7 @@ REGISTRY: dict[str, Query] = {}
 # DECIMAL output columns per query, emitted as DOUBLE.
 MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "prj_02_derived_decimal": ("c_acctbal", "acctbal_k"),
-    "prj_03_with_columns": ("acctbal_k",),
-    "prj_04_select_expr": ("acctbal_k",),
+    "prj_03_with_columns": ("balance_k",),
     "prj_05_rename_drop": ("c_acctbal",),
     "prj_06_normalize_columns": ("acctbal",),
     "prj_06_normalize_then_write": ("acctbal",),

@@ -82,23 +82,43 @@ def money(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)").alias(c)
 
 
-def typed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table in the shape the operators use (see module doc)."""
+#: Half a unit of the last decimal that ``money`` keeps.
+HALF_CENT = 0.005
+
+
+def money_above(c: str, bound: int) -> Column:
+    """On a stored DOUBLE: whether its value as ``money`` is over ``bound``."""
+    return F.col(c) >= F.lit(bound + HALF_CENT)
+
+
+def money_below(c: str, bound: int) -> Column:
+    return F.col(c) <= F.lit(bound - HALF_CENT)
+
+
+def typed(spark: SparkSession, sf_dir: str, name: str, where: Column | None = None) -> DataFrame:
+    """The table in the shape the operators use (see module doc). ``where``
+    filters the stored columns, before any cast, so it reaches the scan."""
+    stored = raw(spark, sf_dir, name) if name != "partsupp" else raw(spark, sf_dir, "lineitem")
+    return shaped(stored if where is None else stored.filter(where), name)
+
+
+def shaped(stored: DataFrame, name: str) -> DataFrame:
+    """A stored table, or a stream of its rows, as ``typed`` gives it."""
     if name == "customer":
-        return raw(spark, sf_dir, name).select(
+        return stored.select(
             "c_custkey", "c_name", "c_nationkey", money("c_acctbal"), "c_mktsegment",
             phone("c_custkey", "c_nationkey").alias("c_phone"))
     if name == "supplier":
-        return raw(spark, sf_dir, name).select(
+        return stored.select(
             "s_suppkey", "s_name", "s_nationkey", money("s_acctbal"),
             phone("s_suppkey", "s_nationkey").alias("s_phone"))
     if name == "orders":
-        return raw(spark, sf_dir, name).select(
+        return stored.select(
             "o_orderkey", "o_custkey", "o_orderstatus", money("o_totalprice"),
             F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
     if name == "partsupp":
-        return partsupp(raw(spark, sf_dir, "lineitem"))
-    return raw(spark, sf_dir, name)
+        return partsupp(stored)
+    return stored
 
 
 def partsupp(lineitem: DataFrame) -> DataFrame:

@@ -76,14 +76,15 @@ def test_checkpoint_layout_and_rate_limit(spark, sf):
 
 
 def test_streaming_and_batch_transform_agree(spark, sf):
-    from lakeforge.plans.projection import wealthy_building
+    from lakeforge.plans.projection import machinery_accounts
+    from lakeforge.sources.tables import raw
     src = scratch_root(spark, "t_same_src")
-    c = typed(spark, sf, "customer")
+    c = raw(spark, sf, "customer")
     c.write.parquet(src)
     sink, ckpt = scratch_root(spark, "t_same_sink"), scratch_root(spark, "t_same_ckpt")
-    INC.run_available_now(wealthy_building(spark.readStream.schema(c.schema).parquet(src)), sink, ckpt,
+    INC.run_available_now(machinery_accounts(spark.readStream.schema(c.schema).parquet(src)), sink, ckpt,
                           query_name="t_same")
-    batch = wealthy_building(c)
+    batch = machinery_accounts(c)
     out = spark.read.parquet(sink)
     assert out.exceptAll(batch).count() == 0 and batch.exceptAll(out).count() == 0
 
