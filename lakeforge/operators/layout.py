@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeforge.session import file_size
+
 
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per partition, without RDDs."""
@@ -46,9 +48,8 @@ TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind ``df`` (file metadata; no data read)."""
-    sizes = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return int(sizes.agg(F.sum("file_size")).first()[0] or 0)
+    """Total size of the files behind ``df``, from their listing; no data is read."""
+    return sum(file_size(df.sparkSession, path) for path in df.inputFiles())
 
 
 def compact(df: DataFrame, path: str, target_files: int | None = None,

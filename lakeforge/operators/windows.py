@@ -255,6 +255,30 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     return join_null_safe(df, totals, list(keys), "inner").withColumn(out, F.col(value) / F.col("_total")).drop("_total")
 
 
+def range_running_sum(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str) -> DataFrame:
+    """Running sum per key in the default RANGE frame: peers of ``order``
+    share a sum. Sums per (key, peers) come from a partial aggregate and are
+    windowed, one row per peer group, so neither a hot key's nor a hot peer
+    group's rows meet in one task."""
+    peers = df.groupBy(*keys, order).agg(F.sum(value).alias("_peers"))
+    upto = peers.withColumn(out, F.sum("_peers").over(Window.partitionBy(*keys).orderBy(order))).drop("_peers")
+    return join_null_safe(df, upto, [*keys, order], "left")
+
+
+def ranks_by_counting(df: DataFrame, keys: Sequence[str], by: str, tiebreak: str, block: Column) -> DataFrame:
+    """row_number, rank and dense_rank per key, by ``by`` descending.
+
+    rank and dense_rank follow from the number of rows per (key, value), a
+    partial aggregate; row_number adds the place among the ties by
+    ``tiebreak``, whose rows are cut into ``block`` segments (monotone in it)."""
+    ties = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys).orderBy(F.col(by).desc())
+    ties = ties.select(*keys, by, (F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1).cast("int").alias("rank"),
+                       F.row_number().over(w).alias("dense_rank"))
+    placed = segmented_window(df, [*keys, by], [tiebreak], block, {"_place": ("row_number", None)})
+    return join_null_safe(placed, ties, [*keys, by], "left").withColumn("row_number", F.col("rank") + F.col("_place") - 1).drop("_place")
+
+
 def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int, segment: Column,
                hot_fraction: float | None = None, force_segmented: bool = False) -> DataFrame:
     """Session windows per key as gaps and islands: a row starts a session

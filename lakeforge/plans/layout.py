@@ -56,6 +56,34 @@ def pt_07(spark, sf_dir):
     return L.keys_per_partition(by_seg.coalesce(1), "c_mktsegment")
 
 
+@query("pt_01_round_robin_is_even", oracle="SELECT count(*) AS rows, CAST(8 AS BIGINT) AS partitions, TRUE AS even FROM lineitem")
+def pt_01c(spark, sf_dir):
+    sizes = L.partition_sizes(raw(spark, sf_dir, "lineitem").repartition(8))
+    return sizes.agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("partitions"), (F.max("count") <= 2 * F.min("count")).alias("even"))
+
+
+@query("pt_05_ranges_are_disjoint", oracle="SELECT count(*) AS rows, TRUE AS disjoint FROM customer")
+def pt_05b(spark, sf_dir):
+    ranges = F.array_sort(F.collect_list(F.struct("lo", "hi")))            # one entry a partition
+    after = F.transform(F.sequence(F.lit(1), F.size("r") - 1), lambda i: F.get(F.col("r"), i)["lo"] > F.get(F.col("r"), i - 1)["hi"])
+    return (pt_05(spark, sf_dir).agg(F.sum("rows").alias("rows"), ranges.alias("r"))
+            .select("rows", (F.when(F.size("r") > 1, F.forall(after, lambda x: x)).otherwise(True)).alias("disjoint")))
+
+
+@query("pt_06_skew_summary_totals", oracle="SELECT count(*) AS rows, TRUE AS max_holds_mean FROM customer")
+def pt_06b(spark, sf_dir):
+    sizes = L.partition_sizes(raw(spark, sf_dir, "customer").repartition(8, "c_nationkey"))
+    return sizes.agg(F.sum("count").alias("rows"), ((F.max("count") >= F.avg("count")) & (F.min("count") <= F.avg("count"))).alias("max_holds_mean"))
+
+
+@query("ex_18_compaction_keeps_rows", oracle="SELECT count(*) AS rows_before, count(*) AS rows_after, TRUE AS fewer_files FROM orders")
+def ex_18b(spark, sf_dir):
+    report = ex_18(spark, sf_dir)
+    at = lambda stage, c: F.max(F.when(F.col("stage") == stage, F.col(c)))
+    return report.agg(at("before", "rows").alias("rows_before"), at("after", "rows").alias("rows_after"),
+                      (at("after", "files") < at("before", "files")).alias("fewer_files"))
+
+
 @query("ex_18_small_file_report")
 def ex_18(spark, sf_dir):
     path = scratch_root(spark, "many_files")

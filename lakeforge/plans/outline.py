@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeforge.functions.columns import SchemaViolation, conform
 
 from lakeforge.functions import nested as N
 from lakeforge.operators import profile as P
@@ -117,6 +120,33 @@ def N_rescue(text_df, ddl: str):
     return parsed.select("r.*", F.when(F.size("_rest") > 0, F.to_json("_rest")).alias("_rescued_data"))
 
 
+@query("ex_07_conform_by_name", oracle="""
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, CAST(NULL AS VARCHAR) AS c_comment, TRUE AS narrowing_refused FROM customer""")
+def ex_07(spark, sf_dir):
+    """Columns in another order and narrower types are taken by name, a
+    missing one is NULL where allowed, and a cast that could lose data is refused."""
+    target = T._parse_datatype_string("c_custkey BIGINT, c_name STRING, c_nationkey BIGINT, c_comment STRING")
+    c = raw(spark, sf_dir, "customer")
+    try:
+        conform(c.select("c_custkey"), T._parse_datatype_string("c_custkey INT"))
+        refused = False
+    except SchemaViolation:
+        refused = True
+    shuffled = c.select("c_nationkey", "c_name", "c_custkey")
+    return conform(shuffled, target, allow_missing=True).withColumn("narrowing_refused", F.lit(refused))
+
+
+@query("ex_20_partition_pruning", oracle="""
+SELECT c_mktsegment, count(*) AS rows, TRUE AS only_its_folder FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY c_mktsegment""")
+def ex_20(spark, sf_dir):
+    """A filter on the partition column reads the files of that folder only."""
+    path = scratch_root(spark, "by_segment")
+    raw(spark, sf_dir, "customer").write.partitionBy("c_mktsegment").parquet(path)
+    read = spark.read.parquet(path).where("c_mktsegment = 'BUILDING'")
+    return (read.withColumn("here", F.col("_metadata.file_path").contains("/c_mktsegment=BUILDING/"))
+            .groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("rows"), F.bool_and("here").alias("only_its_folder")))
+
+
 @query("ex_09_copy_into_idempotent", oracle="SELECT c_custkey, c_name FROM customer")
 def ex_09(spark, sf_dir):
     landing = scratch_root(spark, "copy_landing")
@@ -209,17 +239,39 @@ PROFILE_COLS = ["l_quantity", "l_discount", "l_tax", "l_partkey"]
 def ex_17(spark, sf_dir):
     out = P.profile(raw(spark, sf_dir, "lineitem"), PROFILE_COLS)
     # Means of doubles depend on summation order in the last bits; compare at 6 places.
-    return out.withColumn("mean", F.round("mean", 6))
+    return out.withColumn("mean", F.round("mean", 6)).drop("median")
+
+
+@query("ex_17_medians", oracle=" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS \"values\", TRUE AS within_rank_error FROM lineitem" for c in PROFILE_COLS))
+def ex_17c(spark, sf_dir):
+    """The rank of each profile's median, counted on the table."""
+    li = raw(spark, sf_dir, "lineitem")
+    medians = F.broadcast(P.profile(li, PROFILE_COLS).select("column", "median"))      # one row a column
+    pairs = li.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in PROFILE_COLS])).alias("p")).select("p.*")
+    ranked = pairs.join(medians, "column").groupBy("column").agg(
+        F.count("v").alias("values"), F.count_if(F.col("v") < F.col("median")).alias("below"), F.count_if(F.col("v") <= F.col("median")).alias("upto"))
+    slack = F.col("values") * (2.0 / P.ACCURACY) + 1
+    fine = (F.col("below") <= F.col("values") / 2 + slack) & (F.col("upto") >= F.col("values") / 2 - slack)
+    return ranked.select("column", "values", fine.alias("within_rank_error"))
+
+
+_PART = "FILTER (WHERE l_shipdate {} TIMESTAMP '1998-01-01')"
+
+
+def _mean_sql(c: str, part: str) -> str:
+    return f"CAST(sum(CAST(round({c} * 100) AS HUGEINT)) {part} AS DOUBLE) / 100 / count({c}) {part}"
 
 
 @query("ex_17_drift", oracle=" UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1998-01-01') AS rows_a, "
-    f"count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1998-01-01') AS rows_b FROM lineitem" for c in PROFILE_COLS))
+    f"SELECT '{c}' AS \"column\", count(*) {_PART.format('<')} AS rows_a, count(*) {_PART.format('>=')} AS rows_b, "
+    f"round({_mean_sql(c, _PART.format('>='))} - {_mean_sql(c, _PART.format('<'))}, 4) + 0.0 AS mean_change, "
+    f"CAST(0 AS DOUBLE) AS null_share_change FROM lineitem" for c in PROFILE_COLS))
 def ex_17b(spark, sf_dir):
     li = raw(spark, sf_dir, "lineitem")
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
     d = P.drift(li.filter(F.col("l_shipdate") < cut), li.filter(F.col("l_shipdate") >= cut), PROFILE_COLS)
-    return d.select("column", "rows_a", "rows_b")
+    return d.select("column", "rows_a", "rows_b", (F.round("mean_change", 4) + 0.0).alias("mean_change"), "null_share_change")
 
 
 def skewed_orders(spark, sf_dir):

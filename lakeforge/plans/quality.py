@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeforge.operators import medallion as M
 from lakeforge.operators import quality as Q
 from lakeforge.plans.registry import query
+from lakeforge.operators.quality import Rule, apply_rules
 from lakeforge.plans.sqlkit import sql_avg_money
 from lakeforge.session import scratch_root
 from lakeforge.sources import files as FS
@@ -142,3 +143,19 @@ def dq_01_stream(spark, sf_dir):
     out = _flow(spark, sf_dir)
     # A handful of rule counts gathered from the stream's progress reports.
     return spark.createDataFrame(sorted(out["violations"].items()), "rule STRING, failed BIGINT")
+
+
+@query("ex_11_constraints_before_write", oracle="""
+SELECT count(*) FILTER (WHERE c_custkey % 50 <> 3 AND c_custkey % 70 <> 5) AS accepted,
+       count(*) FILTER (WHERE c_custkey % 50 = 3 OR c_custkey % 70 = 5) AS refused FROM customer""")
+def ex_11(spark, sf_dir):
+    """Rows that break a NOT NULL or a CHECK constraint never reach the table."""
+    c = raw(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 50 != 3, F.col("c_name")).alias("c_name"),
+        F.when(F.col("c_custkey") % 70 == 5, -1).otherwise(F.col("c_nationkey")).alias("c_nationkey"))
+    rules = [Rule("name_not_null", "c_name IS NOT NULL", "drop"), Rule("nation_check", "c_nationkey >= 0", "drop")]
+    path = scratch_root(spark, "constrained")
+    apply_rules(c, rules, "customer").write.parquet(path)
+    total = c.agg(F.count(F.lit(1)).alias("all_rows"))
+    return (spark.read.parquet(path).agg(F.count(F.lit(1)).alias("accepted")).crossJoin(F.broadcast(total))      # one row each
+            .select("accepted", (F.col("all_rows") - F.col("accepted")).alias("refused")))

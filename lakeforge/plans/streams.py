@@ -114,3 +114,37 @@ def ex_28(spark, sf_dir):
          .option("checkpointLocation", scratch_root(spark, "complete_ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+@query("ex_28_update_mode_counts", oracle="SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
+def ex_28b(spark, sf_dir):
+    """Update mode gives each batch's changed groups only; the newest batch
+    that names a group holds its count."""
+    path = _landing_events(spark, sf_dir)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    counts = stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    out = scratch_root(spark, "update_out")
+    q = (counts.writeStream.outputMode("update").foreachBatch(INC.idempotent_batch_writer(out))
+         .option("checkpointLocation", scratch_root(spark, "update_ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).groupBy("event_type").agg(F.max_by("events", "batch_id").alias("events"))
+
+
+@query("sm_06_checkpoint_reset", oracle="""
+SELECT count(*) AS first_run, CAST(0 AS BIGINT) AS rerun, count(*) AS after_reset, TRUE AS owner_kept FROM events""")
+def sm_06(spark, sf_dir):
+    """A rerun on the same checkpoint reads nothing; a new checkpoint reads
+    all again; a checkpoint is refused to another query."""
+    path = _landing_events(spark, sf_dir)
+    schema = spark.read.parquet(path).schema
+    first, second = scratch_root(spark, "reset_ckpt"), scratch_root(spark, "reset_ckpt")
+    # a file sink keeps its own batch log, so each checkpoint has a sink of its own
+    run = lambda ckpt: INC.run_available_now(spark.readStream.schema(schema).parquet(path), f"{ckpt}-sink", ckpt, query_name="sm_06").rows
+    rows = [run(first), run(first), run(second)]
+    try:
+        INC.claim_checkpoint(spark, first, "another")
+        kept = False
+    except ValueError:
+        kept = True
+    names = ("first_run", "rerun", "after_reset")
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in zip(names, rows)], F.lit(kept).alias("owner_kept"))

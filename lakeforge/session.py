@@ -95,6 +95,11 @@ def listing(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def file_size(spark: SparkSession, path: str) -> int:
+    fs, p = _hadoop(spark, path)
+    return fs.getFileStatus(p).getLen()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)
