@@ -303,7 +303,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
         dealt = left.withColumn("grp", F.pmod(F.xxhash64(F.lit(turn), "row_no"), F.lit(groups)).cast("int"))
         found = dealt.select("grp", "row_no", "length").groupBy("grp").applyInArrow(_with_group(length), "grp int, " + _PACKED)
         found, _ = keep(found, "packed")
-        name = (F.lit(turn).cast("bigint") * (1 << 56) + F.col("grp") * F.lit(1 << 28) + F.col("bin")).alias("sequence_id")
+        name = (F.lit(turn).cast("bigint") * (1 << 56) + F.col("grp").cast("bigint") * (1 << 28) + F.col("bin")).alias("sequence_id")
         last = groups == 1
         settled = found if last else found.where("full")
         part = settled.select("row_no", name, "offset")
