@@ -1,23 +1,23 @@
 """Toxicity: a linear classifier on character n-grams, features scaled by
 naive Bayes log-count ratios.
 
-Whether a text holds an n-gram (3 to 5 code points, A-Z lower-cased, hashed
-to 2^20 features) is one feature. From a bounded sample of labelled texts:
+The n-grams (3 to 5 code points, A-Z lower-cased) are hashed to 2^20
+features. From a bounded sample of labelled texts:
 
 1. Spark counts for each feature how many toxic and other texts hold it, and
    keeps the ``features`` ones whose presence depends most on the label
    (largest chi-squared).
-2. A feature's value in a text that holds it is its naive Bayes ratio, the
-   log of the smoothed share of toxic texts with it over that of the others.
+2. A feature's naive Bayes ratio is the log of the smoothed share of toxic
+   texts with it over that of the others. Its value in a text that holds it
+   n times is the ratio times log2(1 + n).
 3. A logistic regression with an L2 penalty is fitted to these values by
    Newton's method.
 
 The score of a text is the logistic function of the intercept and the sum of
-weight x ratio over the different kept n-grams of the whole text.
+weight x value over the kept n-grams of the whole text.
 
 What reaches the driver is bounded by parameters: ``features`` counts, and
-for each of at most ``max_train`` texts the numbers of the kept features it
-holds. The sample is the labelled texts with the smallest hashed ids.
+for each of at most ``max_train`` texts the kept features it holds. The sample is the labelled texts with the smallest hashed ids.
 
 Defined results: a null or empty text holds no n-gram; its score is the
 intercept's. A null or other label than 0 and 1, or a null id, is not used; a text with
@@ -52,8 +52,9 @@ def _codes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, upto[off]
 
 
-def held(data: np.ndarray, off: np.ndarray, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Different (row, feature) pairs, by row; only features marked in ``wanted``."""
+def held(data: np.ndarray, off: np.ndarray, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different (row, feature) pairs, by row, and how often each occurs; only
+    features marked in ``wanted``."""
     codes, at = _codes(data, off)
     c = (codes.astype(np.uint64) + np.uint64(1)) * _SPREAD
     ends = at[1:]
@@ -74,8 +75,8 @@ def held(data: np.ndarray, off: np.ndarray, wanted: np.ndarray | None) -> tuple[
         where = np.flatnonzero(ok)
         row = np.searchsorted(ends, where, "right")
         found.append((row << BITS) | feature[where])
-    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    return pairs >> BITS, pairs & ((1 << BITS) - 1)
+    pairs, times = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
+    return pairs >> BITS, pairs & ((1 << BITS) - 1), times
 
 
 def _marked(features: np.ndarray) -> np.ndarray:
@@ -91,7 +92,7 @@ def _count(batches):
         labels = np.asarray(b.column(0).to_pylist(), np.int64)
         data, off = flat(b.column(1))
         for i, j in steps(off):
-            row, feature = held(data[off[i]:off[j]], off[i:j + 1] - off[i], None)
+            row, feature, _ = held(data[off[i]:off[j]], off[i:j + 1] - off[i], None)
             for label in (0, 1):
                 counts[label] += np.bincount(feature[labels[i:j][row] == label], minlength=1 << BITS)
     some = np.flatnonzero(counts.any(axis=0))
@@ -99,16 +100,18 @@ def _count(batches):
 
 
 def _design(features: np.ndarray):
-    """Label and kept features of each text."""
+    """Label and kept features of each text, with how often it holds them."""
     def run(batches):
         wanted = _marked(features)
         for b in batches:
             data, off = flat(b.column(1))
             parts = [held(data[off[i]:off[j]], off[i:j + 1] - off[i], wanted) for i, j in steps(off)]
-            lists = []
-            for (i, j), (row, feature) in zip(steps(off), parts):
-                lists += np.split(feature, np.searchsorted(row, np.arange(1, j - i)))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), pa.array([x.tolist() for x in lists], pa.list_(pa.int64()))], ["label", "features"])
+            lists: tuple[list, list] = ([], [])
+            for (i, j), (row, *found) in zip(steps(off), parts):
+                cut = np.searchsorted(row, np.arange(1, j - i))
+                for out, values in zip(lists, found):
+                    out += [x.tolist() for x in np.split(values, cut)]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), *[pa.array(x, pa.list_(pa.int64())) for x in lists]], ["label", "features", "times"])
     return run
 
 
@@ -120,8 +123,8 @@ class Model:
     intercept: float
 
     def scores(self, data: np.ndarray, off: np.ndarray, wanted: np.ndarray, effect: np.ndarray) -> np.ndarray:
-        row, feature = held(data, off, wanted)
-        return self.intercept + np.bincount(row, effect[feature], len(off) - 1)
+        row, feature, times = held(data, off, wanted)
+        return self.intercept + np.bincount(row, effect[feature] * np.log2(1 + times), len(off) - 1)
 
 
 def _logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, n_cols: int, penalty: float, rounds: int = 12) -> tuple[np.ndarray, float]:
@@ -178,13 +181,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen_features = np.array([r["feature"] for r in best], np.int64)
     ratio = (np.log((np.array([r["toxic"] for r in best]) + alpha) / (toxic + 2 * alpha))
              - np.log((np.array([r["other"] for r in best]) + alpha) / (other + 2 * alpha)))
-    table = sample.mapInArrow(_design(chosen_features), "label int, features array<bigint>").toArrow()
+    table = sample.mapInArrow(_design(chosen_features), "label int, features array<bigint>, times array<bigint>").toArrow()
     lists = table.column("features").combine_chunks()
     rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
     place = np.zeros(1 << BITS, np.int64)
     place[chosen_features] = np.arange(len(chosen_features))
     cols = place[lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)]
-    w, b = _logistic(rows, cols, ratio[cols], table.column("label").to_numpy().astype(float), len(ratio), penalty)
+    times = table.column("times").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    w, b = _logistic(rows, cols, ratio[cols] * np.log2(1 + times), table.column("label").to_numpy().astype(float), len(ratio), penalty)
     return Model(chosen_features, w * ratio, b)
 
 

@@ -49,13 +49,14 @@ def test_features_of_rows():
     texts = ["Abcdé", "", "ab", "éñü abcde ABCDE", "xyz"]
     raw = [t.encode() for t in texts]
     off = np.concatenate(([0], np.cumsum([len(t) for t in raw]))).astype(np.int64)
-    row, feature = X.held(np.frombuffer(b"".join(raw), np.uint8), off, None)
+    row, feature, times = X.held(np.frombuffer(b"".join(raw), np.uint8), off, None)
     for i, t in enumerate(texts):
         t = "".join(c.lower() if c.isascii() else c for c in t)
         grams = {t[p:p + n] for n in X.GRAMS for p in range(len(t) - n + 1)}
         alone = X.held(np.frombuffer(raw[i], np.uint8), np.array([0, len(raw[i])]), None)[1] if raw[i] else np.zeros(0)
         assert (row == i).sum() == len(grams) == len(alone)
         assert set(feature[row == i]) == set(alone)
+        assert times[row == i].sum() == sum(max(0, len(t) - n + 1) for n in X.GRAMS)
 
 
 def test_few_labels(spark, odd, empty):
