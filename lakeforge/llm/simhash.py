@@ -113,7 +113,7 @@ def links(distinct: DataFrame, max_bits: int = 2, segments: int = 2, bucket: int
     cut = _segments(segments, max_bits)
 
     def value(first: int, width: int) -> Column:
-        return F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1))
+        return F.shiftrightunsigned("fp", first).bitwiseAND(F.lit(_signed((1 << width) - 1)))
 
     stored = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("seg"), value(f, w).alias("val")) for k, (f, w, _) in enumerate(cut)])).alias("s"))
     stored = stored.select("s.seg", "s.val", "fp")
@@ -126,7 +126,7 @@ def links(distinct: DataFrame, max_bits: int = 2, segments: int = 2, bucket: int
     for k, (f, w, r) in enumerate(cut):
         own = value(f, w)
         # values asked for are the larger ones: the mask's highest bit is not set in the own value
-        ask = F.filter(F.array(*[own.bitwiseXOR(F.lit(m)) for m in _balls(w, r)]), lambda x: x >= own)
+        ask = F.filter(F.array(*[own.bitwiseXOR(F.lit(_signed(m))) for m in _balls(w, r)]), lambda x: x >= own)
         part = distinct.select(F.lit(k).alias("seg"), F.explode(ask).alias("val"), "fp")
         asked = part if asked is None else asked.unionByName(part)
     met = asked.join(table, ["seg", "val"]).select("fp", "there", "full").where(
@@ -175,9 +175,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     found = _rooted(docs, id_col, text_col, shingle, max_bits, segments, bucket)
     named = F.col("id").eqNullSafe(F.col("component_id"))
     first = found.groupBy("root", "component_id").agg(F.min(F.when(named, F.col("fp"))).alias("fp"))
-    keys = first.select(row_key(F.col("fp").cast("binary"), F.col("component_id")).alias("key"))
+    keys = first.select(row_key(F.col("fp").cast("string").cast("binary"), F.col("component_id")).alias("key"))
     fp, key = fresh(docs, "fp", "key")
     schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
     rows = docs.withColumn(fp, utf8(f"`{text_col}`")).mapInArrow(_fingerprint_batches(shingle, schema.names), schema)
-    rows = rows.withColumn(key, row_key(quoted(fp).cast("binary"), quoted(id_col)))
+    rows = rows.withColumn(key, row_key(quoted(fp).cast("string").cast("binary"), quoted(id_col)))
     return rows.join(keys.withColumnRenamed("key", key), key, "left_semi").dropDuplicates([key]).select(*[quoted(c) for c in docs.columns])
