@@ -23,11 +23,11 @@ one segment. Documents are gathered in blocks of about ``block_bytes``:
    rotations to get its Burrows-Wheeler transform, and merges all transforms
    by refining their interleave: starting from the shards one after the
    other, each round sorts the interleave stably by the rows' preceding
-   symbols, which makes it correct for one more symbol. Where a boundary
-   between rows first shows, the round is their common prefix's length. After
-   ``length`` rounds the intervals without a boundary are the repeated
-   strings, and the smallest id in an interval says who has it first.
-   Suffixes are never sorted across shards.
+   symbols, which makes it correct for one more symbol. Rows that a round
+   parts from all others are settled: the rounds so far are the longest
+   prefix they share. The intervals left after ``length`` rounds are the
+   repeated strings, and the smallest id in an interval says who has it
+   first. Suffixes are never sorted across shards.
 4. The answers, removed spans, go back to the blocks.
 
 The documents' shuffle by block is one exchange that the three steps reuse.
@@ -263,28 +263,37 @@ def shard_transform(symbols: np.ndarray, sizes: np.ndarray, depth: int) -> tuple
     return order, before, left
 
 
-def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the shards' rows, ordered by their first ``rounds``
-    symbols, and the common prefix of each row with the one before (at most
-    ``rounds``). Rows are numbered through the shards one after the other."""
+def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Repeated intervals of the shards' interleaved rows: the rows that
+    share their first ``rounds`` symbols with another row, in order, and
+    where an interval begins among them; and for every row the length of the
+    prefix that it shares with another (at most ``rounds``). Rows are
+    numbered through the shards one after the other.
+
+    Each round sorts the interleave stably by the rows' preceding symbols
+    and steps to the rotations one symbol longer. A row alone in its interval
+    is settled, and so is the longer rotation it leads to, so it leaves."""
     base = np.cumsum([0, *[len(s[0]) for s in shards]])
     before = np.concatenate([s[1] for s in shards])
     left = np.concatenate([s[2] + b for s, b in zip(shards, base)])
     interleave = np.arange(len(before))
-    common = np.full(len(before), rounds, np.int16)
+    common = np.zeros(len(before), np.int16)
     edge = np.zeros(len(before), bool)
-    edge[:1], common[:1] = True, 0
+    edge[:1] = True
     for r in range(rounds):
         symbol = before[interleave]
         order = np.argsort(symbol, kind="stable")
-        interval = np.cumsum(edge)[order]
+        interval = np.cumsum(edge, dtype=np.int32)[order]
         symbol = symbol[order]
-        interleave = left[interleave[order]]
-        now = np.ones(len(edge), bool)
-        now[1:] = (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])
-        common[now & ~edge] = r
-        edge = now
-    return interleave, common
+        edge = np.ones(len(order), bool)
+        edge[1:] = (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])
+        shared = ~edge
+        shared[:-1] |= ~edge[1:]
+        interleave, edge = left[interleave[order[shared]]], edge[shared]
+        common[interleave] = r + 1
+        if not len(interleave):
+            break
+    return interleave, edge, common
 
 
 def first_holders(data: np.ndarray, sizes: np.ndarray, least: np.ndarray, length: int, shard_bytes: int) -> np.ndarray:
@@ -293,9 +302,10 @@ def first_holders(data: np.ndarray, sizes: np.ndarray, least: np.ndarray, length
     these bytes."""
     m = len(sizes)
     ends = np.cumsum(sizes)
-    symbols = np.zeros(len(data) + m, np.uint16)
+    # UTF-8 has no byte above 244, so one more for the strings' ends fits a byte
+    symbols = np.zeros(len(data) + m, np.uint8)
     own = np.repeat(np.arange(m), sizes)
-    symbols[np.arange(len(data)) + own] = data.astype(np.uint16) + 1
+    symbols[np.arange(len(data)) + own] = data + 1
     padded = sizes + 1
     shards, starts_of = [], []
     cuts = np.flatnonzero(np.diff((ends - 1) // shard_bytes, prepend=-1))
@@ -303,13 +313,13 @@ def first_holders(data: np.ndarray, sizes: np.ndarray, least: np.ndarray, length
     for a, z in zip(cuts, [*cuts[1:], m]):
         shards.append(shard_transform(symbols[at[a]:at[z]], padded[a:z], length))
         starts_of.append(shards[-1][0] + at[a])
-    interleave, common = merge(shards, length)
-    start = np.concatenate(starts_of)[interleave]
-    holder = least[np.repeat(np.arange(m), padded)[start]]
-    edge = np.flatnonzero(common < length)
-    lowest = np.repeat(np.minimum.reduceat(holder, edge), np.diff([*edge, len(holder)]))
-    out = np.empty(len(symbols), np.int64)
-    out[start] = lowest
+    interleave, edge, _ = merge(shards, length)
+    string = np.repeat(np.arange(m), padded)
+    out = least[string]
+    if len(interleave):
+        start = np.concatenate(starts_of)[interleave]
+        first = np.flatnonzero(edge)
+        out[start] = np.repeat(np.minimum.reduceat(out[start], first), np.diff([*first, len(start)]))
     return out[np.arange(len(data)) + own]
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -65,7 +66,7 @@ def rotations(strings):
 
 
 def shard(strings):
-    data = np.concatenate([np.concatenate((np.frombuffer(s, np.uint8).astype(np.uint16) + 1, [0])) for s in strings]).astype(np.uint16)
+    data = np.concatenate([np.concatenate((np.frombuffer(s, np.uint8) + 1, [0])) for s in strings]).astype(np.uint8)
     return S.shard_transform(data, np.array([len(s) + 1 for s in strings]), 50)
 
 
@@ -82,17 +83,22 @@ def test_shard_transform():
 
 
 @pytest.mark.parametrize("rounds", [1, 5, 50])
-def test_merge_orders_rows_and_gives_common_prefixes(rounds):
+def test_merge_finds_repeated_intervals_and_common_prefixes(rounds):
     rng = random.Random(rounds)
     groups = [[bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 70))) for _ in range(rng.randint(1, 5))] for _ in range(4)]
-    shards = [shard(g) for g in groups]
-    interleave, common = S.merge(shards, rounds)
+    groups[1].append(groups[0][0] + b"a")
+    interleave, edge, common = S.merge([shard(g) for g in groups], rounds)
     rows = []
-    for g, (start, _, _) in zip(groups, shards):
+    for g in groups:
         own = [(s + b"\0")[i:] + (s + b"\0")[:i] for s in g for i in range(len(s) + 1)]
-        rows += [(own[p] * 60)[:rounds] for p in start]
+        rows += [(own[p] * 60)[:rounds] for p in shard(g)[0]]
+    count = Counter(rows)
+    assert sorted(interleave) == [r for r in range(len(rows)) if count[rows[r]] > 1]
     ordered = [rows[r] for r in interleave]
-    assert sorted(interleave) == list(range(len(rows))) and ordered == sorted(rows)
-    for a, b, c in zip(ordered, ordered[1:], common[1:]):
-        same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), rounds)
-        assert same == c
+    assert ordered == sorted(ordered)
+    assert [bool(e) for e in edge] == [i == 0 or ordered[i] != ordered[i - 1] for i in range(len(ordered))]
+    ranked = sorted(range(len(rows)), key=lambda r: rows[r])
+    same = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), rounds)
+    near = [same(rows[a], rows[b]) for a, b in zip(ranked, ranked[1:])]
+    for k, r in enumerate(ranked):
+        assert common[r] == max(near[k - 1] if k else 0, near[k] if k < len(near) else 0)
