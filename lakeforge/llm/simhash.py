@@ -131,7 +131,7 @@ def links(distinct: DataFrame, max_bits: int = 2, segments: int = 2, bucket: int
         asked = part if asked is None else asked.unionByName(part)
     met = asked.join(table, ["seg", "val"]).select("fp", "there", "full").where(
         F.col("full") | ((F.col("fp") != F.col("there")) & _near(F.col("fp"), F.col("there"), max_bits)))
-    met = save(met.distinct(), "met")
+    met = save(met, "met")
     pairs = met.where(~F.col("full")).select(F.col("fp").alias("a"), F.col("there").alias("b"))
     if sizes.isEmpty():
         return pairs
