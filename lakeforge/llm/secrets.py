@@ -5,24 +5,29 @@ assignments of a value of 6 or more characters to a name such as
 ``password``, access key ids of 20 or more characters, and lower-case hex
 runs of 24 or more.
 
-Every other token of 20 or more characters of base64 alphabets gets the
-encoding it looks like (hex, base32, base36, base62, base64) and a battery
-of tests of the hypothesis that its symbols are drawn uniformly from that
-alphabet:
+Every other run of 20 or more characters of base64 alphabets is a candidate,
+and as runs can be paths around a token, so are its parts of 20 or more
+between the symbols that the token's alphabet lacks (``_PARTS``). Each
+candidate gets the encoding it looks like (hex, base32, base36, base62,
+base64) and a battery of tests of the hypothesis that its symbols are drawn
+uniformly from that alphabet:
 
 * chi-squared of the symbols' counts, in classes of neighbouring symbols so
   that about five symbols are expected in each class whatever the length;
 * the Wald-Wolfowitz runs test of symbols below and above the middle;
 * the serial correlation of neighbouring symbols.
 
-Fisher's method combines the three. Tokens for which the hypothesis is
+Fisher's method combines the three; for letters of one case, which are words
+more often than keys, also the probability that a token has no digit. Tokens for which the hypothesis is
 rejected are words, names or paths. The false discovery rate of these
 rejections is controlled over the whole corpus by Benjamini-Hochberg within
 each encoding and doubling of length, because short tokens show less than
-long ones. What is not rejected is reported as kind ``random``, unless it
-overlaps a base span. P-values are rounded up to 1/20 of a power of ten, so
+long ones. What is not rejected is reported as kind ``random``, candidates
+that overlap as one span; candidates that overlap a base span are not
+tested. P-values are rounded up to 1/20 of a power of ten, so
 the step-up needs one count per encoding, length class and step, a few
-thousand numbers for any corpus; texts are read once.
+thousand numbers for any corpus; texts are read once. Digits alone are
+numbers, not candidates (from 24 on they are base spans of kind ``hex``).
 
 Defined results: a null or empty text has no spans. Rows are judged each by
 itself; repeated rows get the same spans, and each counts as a test. An
@@ -34,6 +39,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +55,9 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")              # the same spans as runs of any length, short ones dropped
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+_SEPARATOR = re.compile(r"[+/_-]")
+#: What a run with separators is split into: both base64 alphabets, the plain one also without slashes, and none of the four.
+_PARTS = tuple(re.compile(rf"[A-Za-z0-9{more}]{{20,}}") for more in ("+/", "_-", "+", ""))
 
 #: Alphabets in symbol order, the narrowest that holds a token is its encoding.
 ENCODINGS = (
@@ -65,9 +75,9 @@ STEPS, DECADES = 20, 30
 
 
 def infer(token: str) -> tuple[int, str] | None:
-    """The encoding's number and alphabet; None for tokens of letters of one
-    case or of digits alone, which are words and numbers."""
-    if token.isdigit() or token.islower() and token.isalpha() or token.isupper() and token.isalpha():
+    """The encoding's number and alphabet; None for digits alone, which are
+    numbers, and where no alphabet has all symbols."""
+    if token.isdigit():
         return None
     seen = set(token)
     for n, (_, alphabet) in enumerate(ENCODINGS):
@@ -81,17 +91,18 @@ def _upper_normal(z: float) -> float:
 
 
 def _upper_chi2(x: float, k: int) -> float:
-    """Wilson-Hilferty approximation; exact for k = 2 and for k = 6."""
+    """Wilson-Hilferty approximation; exact for k = 2, 6 and 8."""
     if k == 2:
         return math.exp(-x / 2)
-    if k == 6:
+    if k in (6, 8):
         h = x / 2
-        return math.exp(-h) * (1 + h + h * h / 2)
+        return math.exp(-h) * (1 + h + h * h / 2 + (h ** 3 / 6 if k == 8 else 0))
     return _upper_normal(((x / k) ** (1 / 3) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k)))
 
 
 def randomness(token: str, alphabet: str) -> float:
-    """Combined p-value of the three tests that ``token`` is uniform over ``alphabet``."""
+    """Combined p-value of the three tests that ``token`` is uniform over
+    ``alphabet``, and for letters of one case of the share of tokens without digits."""
     place = {c: i for i, c in enumerate(alphabet)}
     s = np.fromiter((place[c] for c in token), np.int64, len(token))
     n, a = len(s), len(alphabet)
@@ -111,8 +122,11 @@ def randomness(token: str, alphabet: str) -> float:
     d = s - s.mean()
     spread = float((d * d).sum())
     p_serial = 2 * _upper_normal(abs(float((d[1:] * d[:-1]).sum()) / spread) * math.sqrt(n)) if spread > 0 else 2.0 ** (1 - n)
+    found = [p_chi, p_runs, p_serial]
+    if token.isalpha() and (token.islower() or token.isupper()):
+        found.append((sum(c.isalpha() for c in alphabet) / a) ** n)
     tiny = 10.0 ** -(DECADES + 5)
-    return _upper_chi2(-2 * sum(math.log(min(1.0, max(p, tiny))) for p in (p_chi, p_runs, p_serial)), 6)
+    return _upper_chi2(-2 * sum(math.log(min(1.0, max(p, tiny))) for p in found), 2 * len(found))
 
 
 def _base(text: str) -> list[tuple[int, int, int]]:
@@ -122,19 +136,26 @@ def _base(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _tested(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, stratum, step of the p-value) of the tokens that no base span overlaps."""
-    out, k, reach = [], 0, 0
+def _candidates(text: str):
+    """(start, end) of each run and of its parts, each once."""
     for m in _TOKEN.finditer(text):
-        while k < len(base) and base[k][0] < m.end():
-            reach = max(reach, base[k][2])
-            k += 1
-        kind = infer(m.group()) if reach <= m.start() else None
+        start, end = m.span()
+        yield start, end
+        if _SEPARATOR.search(text, start, end):
+            yield from {p.span() for part in _PARTS for p in part.finditer(text, start, end)} - {(start, end)}
+
+
+def _tested(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(start, end, stratum, step of the p-value) of the candidates that no base span overlaps."""
+    out, starts, reach = [], [s for s, _, _ in base], [0, *accumulate((e for _, _, e in base), max)]
+    for start, end in _candidates(text):
+        token = text[start:end]
+        kind = infer(token) if reach[bisect_left(starts, end)] <= start else None
         if kind:
-            p = randomness(m.group(), kind[1])
+            p = randomness(token, kind[1])
             step = min(DECADES * STEPS, int(-math.log10(max(p, 10.0 ** -DECADES)) * STEPS))
-            out.append((m.start(), m.end(), kind[0] * 64 + (m.end() - m.start()).bit_length(), step))
-    return out
+            out.append((start, end, kind[0] * 64 + (end - start).bit_length(), step))
+    return sorted(out, key=lambda t: (t[0], -t[1]))
 
 
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("k", pa.int32()), ("end", pa.int64())]))
@@ -169,6 +190,19 @@ def rejections(counts: list[tuple[int, int, int]], rate: float) -> dict[int, int
     return out
 
 
+def _merged(kept: Column) -> Column:
+    """Spans by start, those that overlap as one."""
+    none = F.struct(F.filter(F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end"))), lambda t: F.lit(False)).alias("out"),
+                    F.lit(-1).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end"))
+    closed = lambda acc: F.when(acc["start"] < 0, acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))))
+
+    def step(acc: Column, t: Column) -> Column:
+        return (F.when(t["start"] < acc["end"], F.struct(acc["out"].alias("out"), acc["start"].alias("start"), F.greatest(acc["end"], t["end"]).alias("end")))
+                .otherwise(F.struct(closed(acc).alias("out"), t["start"].alias("start"), t["end"].alias("end"))))
+
+    return F.aggregate(kept, none, step, closed)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.05) -> DataFrame:
     """One row per input row: id, base (its spans) and found (all spans):
     structs (start, kind number, end) by start, then kind."""
@@ -182,7 +216,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     pairs = [x for k, v in limits.items() for x in (F.lit(k), F.lit(v))]
     limit = F.create_map(*pairs) if pairs else F.create_map().cast("map<int,int>")
     kept = F.filter("tests", lambda t: t["step"] < F.coalesce(F.try_element_at(limit, t["stratum"]), F.lit(DECADES * STEPS + 1)))
-    random = F.transform(kept, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("random")).alias("k"), t["end"].alias("end")))
+    random = F.transform(_merged(kept), lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("random")).alias("k"), t["end"].alias("end")))
     return rows.select("id", "base", F.array_sort(F.concat("base", random)).alias("found"))
 
 

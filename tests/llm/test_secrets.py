@@ -50,6 +50,28 @@ def test_random_tokens_pass_and_words_do_not(spark):
     assert sum(found[len(keys):]) == 0
 
 
+def test_tokens_inside_paths_and_of_one_case(spark):
+    """Tokens in runs that no alphabet holds, behind words, beside base spans, and of letters alone."""
+    rng = random.Random(21)
+    word = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    frames = [("https://host.com/reset-password/", word, 40, "/x"), ("org/repo_name/", word, 40, ""), ("see src/main/java/example/resources/", word, 40, "/end"),
+              ("https://host.com/a/", word + "-_", 43, "/b+c"), ("get deadbeefdeadbeefdeadbeef/", word, 40, ""), ("key ", B64[:26], 20, " end")]
+    rows, want = [], {}
+    for i in range(240):
+        before, alphabet, n, after = frames[i % len(frames)]
+        key = "k" + random_token(rng, alphabet, n - 2) + "Z" if "-" in alphabet else random_token(rng, alphabet, n)
+        rows.append((i, before + key + after))
+        want[i] = (len(before), len(before) + n)
+    got = {r["id"]: [tuple(s) for s in r["found"]] for r in S.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    covered = [any(k == 3 and a <= want[i][0] and z >= want[i][1] for a, k, z in got[i]) for i in range(240)]
+    for f in range(len(frames) - 1):
+        assert sum(covered[f::len(frames)]) >= 32, frames[f]
+    # their lack of digits counts against letters alone
+    assert sum(covered[5::len(frames)]) >= 10
+    for spans in got.values():
+        assert all(a[2] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_p_values_are_about_uniform_under_the_hypothesis():
     rng = random.Random(1)
     for name, alphabet in (S.ENCODINGS[0], S.ENCODINGS[5], S.ENCODINGS[6]):
