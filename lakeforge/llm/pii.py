@@ -4,8 +4,11 @@ context words adjust their score. DataFrame functions only.
 Kinds, in this order: email, ip, card, phone (the base kinds), iban, ssn.
 Base spans are the leftmost non-overlapping matches of each kind that pass
 their validator (parts up to 255, Luhn, numbers of digits); they always
-count. An iban must pass mod-97; an ssn must use assigned numbers and, as a
-weak pattern, have a context word just before it to reach the threshold.
+count. An iban must pass mod-97 at its country's length, or for other
+countries at the longest length that passes; its pattern is only the head
+(country and check digits), so no word or account behind it is swallowed. An
+ssn must use assigned numbers and, as a weak pattern, have a context word
+nearby to reach the threshold.
 
 Spark's functions give matches but no positions. The pieces of text between
 the matches (``split`` by the same pattern) do: a match starts after all
@@ -46,13 +49,24 @@ KINDS = (
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", True, 0.6, ("ip", "server", "host", "address")),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", True, 0.7, ("card", "visa", "credit", "pay")),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", True, 0.6, ("phone", "tel", "call", "mobile", "fax")),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", False, 0.7, ("iban", "bank", "account")),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]{4}){2})", False, 0.7, ("iban", "bank", "account")),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", False, 0.3, ("ssn", "social", "security")),
 )
+#: Lengths of account numbers by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
 #: Spans of the other kinds count from this score on.
 THRESHOLD = 0.5
 #: Code points before a match that are searched for context words.
 NEARBY = 40
+#: Code points kept from behind a match: an account number's tail has up to 38.
+REACH = 80
+#: Matches of the kind on a side that can lie in REACH: heads of account numbers are at least five apart.
+PIECES = 20
+IBAN = [kind.name for kind in KINDS].index("iban")
 
 
 def _digits(match: Column) -> Column:
@@ -82,7 +96,7 @@ def mod_97(account: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), step) == 1
 
 
-def _confirmed(kind: str, match: Column) -> Column:
+def _confirmed(kind: str, match: Column, tail: Column) -> Column:
     digits = _digits(match)
     if kind == "ip":
         return F.forall(F.split(match, "\\."), lambda p: F.regexp_like(p, F.lit("^0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])$")))
@@ -91,13 +105,27 @@ def _confirmed(kind: str, match: Column) -> Column:
     if kind == "phone":
         return F.length(digits).between(9, 15)
     if kind == "iban":
-        plain = F.regexp_replace(match, " ", "")
-        return F.when(F.length(plain).between(15, 34), mod_97(plain)).otherwise(False)
+        return tail.isNotNull()
     if kind == "ssn":
         return F.regexp_like(match, F.lit("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"))
     return F.lit(True)
 
 
+def _account_tail(head: Column, after: Column) -> Column:
+    """What ``after`` has of the account number that starts with ``head``: the
+    longest tail of the right length that passes mod-97, null if none does."""
+    registered = F.create_map(*[F.lit(x) for n, codes in IBAN_LENGTHS.items() for code in codes.split() for x in (code, n)])
+    right = F.try_element_at(registered, F.substring(head, 1, 2))
+
+    def of(n: int) -> Column:
+        groups, rest = divmod(n - 4, 4)
+        last = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        return F.regexp_extract(after, rf"^(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{last}(?![A-Za-z0-9])", 0)
+
+    tails = F.filter(F.array(*[of(n) for n in range(34, 14, -1)]), lambda t, i: (t != "") & (F.coalesce(right, 34 - i) == 34 - i))
+    return F.get(F.filter(tails, lambda t: mod_97(F.regexp_replace(F.concat(head, t), " ", ""))), F.lit(0))
+
+
 def _by_kind(of) -> Column:
     out = F.lit(None)
     for k, kind in reversed(list(enumerate(KINDS))):
@@ -114,30 +142,43 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     for k, kind in enumerate(KINDS):
         texts = texts.withColumn(f"g{k}", F.when(F.size(f"m{k}") > 0, F.split("text", kind.pattern, -1)))
     listed = [F.when(F.size(f"m{k}") > 0, _listed(k)) for k in range(len(KINDS))]
-    empty = F.array().cast("array<struct<k:int,n:int,skipped:bigint,match:string,near:string>>")
+    empty = F.array().cast("array<struct<k:int,n:int,skipped:bigint,match:string,near:string,after:string>>")
     rows = (texts.select("row_no", "id", F.explode_outer(F.concat(*[F.coalesce(x, empty) for x in listed])).alias("x"))
             .select("row_no", "id", "x.*").repartition("row_no"))
-    so_far = Window.partitionBy("row_no", "k").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    in_order = Window.partitionBy("row_no", "k").orderBy("n")
     size = F.length("match")
-    rows = rows.withColumn("end", F.sum(F.col("skipped") + size).over(so_far)).withColumn("start", F.col("end") - size)
+    rows = rows.withColumn("end", F.sum(F.col("skipped") + size).over(in_order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("start", F.col("end") - size)
+    behind = F.collect_list(F.concat(F.left("match", F.lit(REACH)), F.col("after"))).over(in_order.rowsBetween(1, PIECES))
+    rows = rows.withColumn("after", F.left(F.concat(F.col("after"), F.concat_ws("", behind)), F.lit(REACH)))
+    rows = rows.withColumn("tail", F.when(F.col("k") == IBAN, _account_tail(F.col("match"), F.col("after"))))
+    rows = rows.withColumn("end", F.col("end") + F.coalesce(F.length("tail"), F.lit(0)))
     score = _by_kind(lambda kind: F.lit(kind.score) + F.when(F.regexp_like(F.lower("near"), F.lit("|".join(kind.context))), kind.gain).otherwise(0.0))
-    rows = rows.withColumn("score", F.when(F.col("k").isNotNull() & _by_kind(lambda kind: _confirmed(kind.name, F.col("match"))), score))
+    rows = rows.withColumn("score", F.when(F.col("k").isNotNull() & _by_kind(lambda kind: _confirmed(kind.name, F.col("match"), F.col("tail"))), score))
     counts = F.col("score").isNotNull() & (_by_kind(lambda kind: F.lit(kind.base)) | (F.col("score") >= THRESHOLD))
     found = F.when(counts, F.struct("start", "k", "end", "score"))
-    return (rows.groupBy("row_no", "id").agg(F.array_sort(F.collect_list(found)).alias("found"))
+    return (rows.groupBy("row_no", "id").agg(F.array_sort(F.collect_list(found)).alias("found")).withColumn("found", _accounts_apart(F.col("found")))
             .select("id", *[_number(k).alias(f"n_{kind.name}") for k, kind in enumerate(KINDS)], "found"))
 
 
+def _accounts_apart(found: Column) -> Column:
+    """Without accounts that start inside an earlier one."""
+    none = F.struct(F.lit(0).cast("bigint").alias("reach"), F.filter(found, lambda s: F.lit(False)).alias("out"))
+    step = lambda acc, s: F.when(s["start"] >= acc["reach"], F.struct(s["end"].cast("bigint").alias("reach"), F.concat(acc["out"], F.array(s)).alias("out"))).otherwise(acc)
+    apart = F.aggregate(F.filter(found, lambda s: s["k"] == IBAN), none, step, lambda acc: acc["out"])
+    return F.array_sort(F.concat(F.filter(found, lambda s: s["k"] != IBAN), apart))
+
+
 def _number(k: int) -> Column:
     return F.size(F.filter("found", lambda s: s["k"] == k)).cast("bigint")
 
 
 def _listed(k: int) -> Column:
     """Each match of a kind with its number, the length of the text skipped
-    since the last match, and the end of that text."""
+    since the last match, the end of that text and the start of the text behind."""
     gap = lambda i: F.get(F.col(f"g{k}"), i)
     return F.transform(f"m{k}", lambda match, i: F.struct(
-        F.lit(k).alias("k"), i.alias("n"), F.length(gap(i)).cast("bigint").alias("skipped"), match.alias("match"), F.right(gap(i), F.lit(NEARBY)).alias("near")))
+        F.lit(k).alias("k"), i.alias("n"), F.length(gap(i)).cast("bigint").alias("skipped"), match.alias("match"), F.right(gap(i), F.lit(NEARBY)).alias("near"),
+        F.left(gap(i + 1), F.lit(REACH)).alias("after")))
 
 
 def joined(found: Column, base_only: bool = False) -> Column:

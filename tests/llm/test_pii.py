@@ -67,6 +67,17 @@ def test_added_kinds_and_context(spark):
     assert got[5]["found"][0]["score"] > got[6]["found"][0]["score"]
 
 
+def test_account_numbers_before_words_and_accounts(spark):
+    """A capitalised word, a code or the next account behind or before a number does not swallow it."""
+    want = {"AT611904300234573201": " EUR 500", "ES9121000418450200051332": " BIC ABC", "BE68539007547034": " IBAN", "BE68 5390 0754 7034": " USD", "NO9386011117947": " NOK",
+            "DE89 3704 0044 0532 0130 00": " AB12 3456", "MT84MALT011000012345MTLCAST001S": " 2024", "GB82 WEST 1234 5698 7654 32": "", "AT61 1904 3002 3457 3201": " BE68 5390 0754 7034"}
+    texts = [f"é {a}{behind}" for a, behind in want.items()] + [f"é {a}" for a in want] + [f"AB12 3456 {a}" for a in want] + [" ".join(want), "AT61 1904 3002 3457 3202 EUR", "DE68 5390 0754 7034"]
+    got = {r["id"]: [(s["start"], s["end"]) for s in r["found"] if s["k"] == 4] for r in P.spans(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    for i, text in enumerate(texts[:-2]):
+        assert got[i] == sorted((m.start(), m.end()) for a in want for m in re.finditer(rf"(?<![A-Z0-9]){a}(?![A-Z0-9])", text)), text
+    assert got[len(texts) - 2] == got[len(texts) - 1] == []
+
+
 def test_odd_rows(odd, empty):
     assert P.spans(odd).count() == odd.count()
     assert P.spans(empty).count() == 0
