@@ -13,7 +13,8 @@ nearby to reach the threshold.
 Spark's functions give matches but no positions. The pieces of text between
 the matches (``split`` by the same pattern) do: a match starts after all
 earlier pieces and matches of its kind. These running sums are a window over
-the row's matches, after one shuffle of matches without texts. Patterns are
+the row's matches, after one shuffle of matches without texts; the same window
+joins pieces and matches to the text nearby. Patterns are
 written so that they neither back-track nor recurse: possessive quantifiers,
 and a start only where a run of the class starts or the last match ended.
 
@@ -60,11 +61,11 @@ IBAN_LENGTHS = {
     31: "MT SC", 32: "LC", 33: "RU"}
 #: Spans of the other kinds count from this score on.
 THRESHOLD = 0.5
-#: Code points before a match that are searched for context words.
+#: Code points before and behind a match that are searched for context words, across other matches.
 NEARBY = 40
 #: Code points kept from behind a match: an account number's tail has up to 38.
 REACH = 80
-#: Matches of the kind on a side that can lie in REACH: heads of account numbers are at least five apart.
+#: Matches of the kind on a side that can lie in REACH (heads of account numbers, at least five apart) or NEARBY (the others, at least three).
 PIECES = 20
 IBAN = [kind.name for kind in KINDS].index("iban")
 
@@ -133,6 +134,10 @@ def _by_kind(of) -> Column:
     return out
 
 
+def _says(side: str, kind: Kind) -> Column:
+    return F.regexp_like(F.lower(side), F.lit("|".join(kind.context)))
+
+
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_<kind> for each kind, and ``found``: the
     spans (start, kind number, end, score) in order."""
@@ -150,9 +155,13 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = rows.withColumn("end", F.sum(F.col("skipped") + size).over(in_order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("start", F.col("end") - size)
     behind = F.collect_list(F.concat(F.left("match", F.lit(REACH)), F.col("after"))).over(in_order.rowsBetween(1, PIECES))
     rows = rows.withColumn("after", F.left(F.concat(F.col("after"), F.concat_ws("", behind)), F.lit(REACH)))
+    ahead = F.collect_list(F.concat(F.col("near"), F.right("match", F.lit(NEARBY)))).over(in_order.rowsBetween(-PIECES, -1))
+    rows = rows.withColumn("before", F.right(F.concat(F.concat_ws("", ahead), F.col("near")), F.lit(NEARBY)))
     rows = rows.withColumn("tail", F.when(F.col("k") == IBAN, _account_tail(F.col("match"), F.col("after"))))
     rows = rows.withColumn("end", F.col("end") + F.coalesce(F.length("tail"), F.lit(0)))
-    score = _by_kind(lambda kind: F.lit(kind.score) + F.when(F.regexp_like(F.lower("near"), F.lit("|".join(kind.context))), kind.gain).otherwise(0.0))
+    # the words of an account's own tail are no context
+    rows = rows.withColumn("behind", F.substring(F.col("after"), F.coalesce(F.length("tail"), F.lit(0)) + 1, F.lit(NEARBY)))
+    score = _by_kind(lambda kind: F.lit(kind.score) + F.when((_says("before", kind) | _says("behind", kind)), kind.gain).otherwise(0.0))
     rows = rows.withColumn("score", F.when(F.col("k").isNotNull() & _by_kind(lambda kind: _confirmed(kind.name, F.col("match"), F.col("tail"))), score))
     counts = F.col("score").isNotNull() & (_by_kind(lambda kind: F.lit(kind.base)) | (F.col("score") >= THRESHOLD))
     found = F.when(counts, F.struct("start", "k", "end", "score"))

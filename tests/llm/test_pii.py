@@ -78,6 +78,19 @@ def test_account_numbers_before_words_and_accounts(spark):
     assert got[len(texts) - 2] == got[len(texts) - 1] == []
 
 
+def test_context_across_matches_and_behind(spark):
+    """Context words within 40 code points count on either side, whatever matches lie between."""
+    check = 98 - int("".join(str(int(c, 36)) for c in "BANK0417164300NL00")) % 97
+    three = "123-45-6789, 234-56-7890, 345-67-8901"
+    rows = [(0, "SSN: " + three), (1, "SSN 000-45-6789, 123-45-6789"), (2, "123-45-6789 (SSN)"), (3, three + " ssn"), (4, three), (5, "ssn" + "." * 38 + "123-45-6789"),
+            (6, "ssn" + "." * 37 + "123-45-6789"), (7, "123-45-6789" + "." * 38 + "ssn"), (8, "123-45-6789" + "." * 37 + "ssn"), (9, "card 12 13 14  4111 1111 1111 1111"),
+            (10, f"NL{check:02}BANK0417164300 x")]
+    got = {r["id"]: r for r in P.spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i]["n_ssn"] for i in range(9)] == [3, 1, 1, 3, 0, 0, 1, 0, 1]
+    assert got[9]["found"][0]["score"] == 1.0
+    assert got[10]["found"][0]["score"] == 0.7
+
+
 def test_odd_rows(odd, empty):
     assert P.spans(odd).count() == odd.count()
     assert P.spans(empty).count() == 0
