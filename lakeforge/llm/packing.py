@@ -10,7 +10,8 @@ raises the sum of squared fills: going from the fullest underfull bin to the
 emptiest, it looks in less full bins for a move of one piece into the gap,
 or an exchange of one for one, two for one or one for two that fills the bin
 exactly; if none does, for the best of those that fill most of the gap. Gaps
-gather in the emptiest bins until these are empty. The pieces of bins that
+gather in the emptiest bins until these are empty. This is repeated until it
+changes nothing. The pieces of bins that
 stay underfull are dealt again with those of other groups, until that ends
 in one group or gains no more.
 
@@ -24,6 +25,8 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -147,7 +150,7 @@ def best_fit(sizes: list[int], length: int) -> list[list[int]]:
 class LocalSearch:
     """Exchanges between the underfull bins of a group."""
 
-    #: Pieces of one length that are looked at for a partner, and gaps below the exact one that are tried.
+    #: Pieces of one length that are looked at for a partner, and gaps below the exact one that are tried before those that the sizes allow.
     LOOK, SHORT = 24, 48
 
     def __init__(self, sizes: list[int], bins: list[list[int]], length: int):
@@ -231,42 +234,84 @@ class LocalSearch:
                 return True
         return False
 
+    def _gains(self, b: int, most: int) -> Iterator[int]:
+        """The gains up to ``most`` that exchanges of the sizes at hand can have, largest first."""
+        own = Counter(self.sizes[i] for i in self.bins[b])
+        present = sum(1 << s for s, items in self.by_size.items() if len(items) > own[s])
+        pairs = {s + t for s, n in own.items() for t in own if s != t or n > 1}
+        gains = 0
+        for t in {0, *own, *pairs}:
+            gains |= present >> t
+        two = 0
+        for h in self.low:
+            if h != b and not self.done[h]:
+                held = Counter(self.sizes[i] for i in self.bins[h])
+                for t in {s + t for s, n in held.items() for t in held if s != t or n > 1}:
+                    two |= 1 << t
+        for t in own:
+            gains |= two >> t
+        gains &= (1 << max(0, most) + 1) - 2
+        while gains > 0:
+            g = gains.bit_length() - 1
+            yield g
+            gains ^= 1 << g
+
     def run(self) -> list[list[int]]:
-        open_bins = sorted((b for b in range(len(self.bins)) if not self.done[b]), key=lambda b: -self.fill[b])
+        while self._pass() | self._empty():
+            for b, items in enumerate(self.bins):
+                if items and self.fill[b] < self.length:
+                    self.done[b] = False
+                    for i in items:
+                        self.by_size.setdefault(self.sizes[i], set()).add(i)
+        return [list(b) for b in self.bins if b]
+
+    def _pass(self) -> bool:
+        """Whether any bin was raised."""
+        raised = False
+        open_bins = sorted((b for b in range(len(self.bins)) if self.bins[b] and not self.done[b]), key=lambda b: -self.fill[b])
         for n, b in enumerate(open_bins):
-            if self.done[b] or not self.bins[b]:
-                continue
             if n % 64 == 0:
                 self.low = sorted((h for h in open_bins[n:] if self.bins[h]), key=lambda h: self.fill[h])[:8]
+            if self.done[b] or not self.bins[b]:
+                continue
             while self.fill[b] < self.length:
                 gap = self.length - self.fill[b]
-                if not any(self._raise(b, g) for g in range(gap, max(0, gap - self.SHORT), -1)):
+                if not any(self._raise(b, g) for g in range(gap, max(0, gap - self.SHORT), -1)) \
+                        and not any(self._raise(b, g) for g in self._gains(b, gap - self.SHORT)):
                     break
+                raised = True
             self._freeze(b)
-        self._empty()
-        return [list(b) for b in self.bins if b]
+        return raised
 
-    def _empty(self) -> None:
-        """Pieces of the emptiest bins go wherever there is room."""
+    def _empty(self) -> bool:
+        """Pieces of the emptiest bins go wherever there is room; whether any bin was emptied."""
+        emptied = False
         room: dict[int, list[int]] = {}
         order = sorted((b for b in range(len(self.bins)) if self.bins[b] and self.fill[b] < self.length), key=lambda b: self.fill[b])
         for b in order:
             room.setdefault(self.length - self.fill[b], []).append(b)
         for b in order:
+            items = sorted(self.bins[b], key=lambda i: -self.sizes[i])
+            if not room or self.sizes[items[0]] > max(room):
+                continue
             plan, left = [], {r: list(v) for r, v in room.items()}
-            for i in sorted(self.bins[b], key=lambda i: -self.sizes[i]):
+            for i in items:
                 fits = [r for r in left if r >= self.sizes[i] and any(h != b for h in left[r])]
                 if not fits:
-                    return
+                    break
                 r = min(fits)
                 h = next(h for h in left[r] if h != b)
                 left[r].remove(h)
                 left.setdefault(r - self.sizes[i], []).append(h)
                 plan.append((i, h))
+            if len(plan) < len(items):
+                continue
             for i, h in plan:
                 self._move(i, h)
             left = {r: [h for h in v if h != b] for r, v in left.items()}
             room = {r: v for r, v in left.items() if v and r}
+            emptied = True
+        return emptied
 
 
 def pack_group(sizes: list[int], length: int) -> list[list[int]]:

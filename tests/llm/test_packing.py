@@ -74,3 +74,19 @@ def test_exchanges_empty_a_bin():
     """Best fit needs four bins here, exchanges get by with three."""
     sizes = [6, 5, 4, 4, 4, 3, 2, 2]
     assert len(P.best_fit(sizes, 10)) >= len(P.pack_group(sizes, 10)) == 3
+
+
+def test_coarse_sizes():
+    """The case of test_exchanges_empty_a_bin in hundreds: no exchange fills a bin to within 47 tokens."""
+    sizes = [1200, 1000, 800, 800, 800, 600, 400, 400]
+    bins = P.pack_group(sizes, 2048)
+    assert sorted(i for b in bins for i in b) == list(range(8))
+    assert all(sum(sizes[i] for i in b) <= 2048 for b in bins)
+    assert len(P.best_fit(sizes, 2048)) == 4 and len(bins) == 3
+
+
+def test_a_bin_that_stays_does_not_stop_the_emptying():
+    """The emptiest bin holds a piece that fits nowhere; the next can be emptied."""
+    sizes = [50, 26, 26, 52, 52]
+    search = P.LocalSearch(sizes, [[0], [1, 2], [3], [4]], 80)
+    assert search._empty() and sum(1 for b in search.bins if b) == 3
