@@ -90,3 +90,14 @@ def test_a_bin_that_stays_does_not_stop_the_emptying():
     sizes = [50, 26, 26, 52, 52]
     search = P.LocalSearch(sizes, [[0], [1, 2], [3], [4]], 80)
     assert search._empty() and sum(1 for b in search.bins if b) == 3
+
+
+def test_special_markers_are_spelled_out():
+    """Against the tokenizer as loaded: the same ids but for a literal special marker, which README says is text."""
+    from tokenizers import Tokenizer
+    loaded, words = Tokenizer.from_file(P.default_tokenizer()), P.WordIds(P.default_tokenizer())
+    ids = lambda t: np.array(loaded.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    for t in ["", "Hello, World! it's a<b|c>", "İstanbul 日本語 3.14", "<| endoftext |>", "x" * 300]:
+        assert words.text(t.encode()) == ids(t), t
+    for t in ["a <|endoftext|> b", "<|startoftext|>x"]:
+        assert len(words.text(t.encode())) > len(ids(t)), t
