@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import exact_dedup, mixing, oracles, packing, pii, quality_rules, secrets, simhash, suffix_dedup, toxicity, urls
+from lakeforge.llm import exact_dedup, mixing, oracles, packing, periodic, pii, quality_rules, secrets, simhash, suffix_dedup, toxicity, urls
 from lakeforge.session import configure
 
 
@@ -81,8 +81,31 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), length=2048, end_id=0)
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``; where h = crc32 of the decimal doc_id ends in 0,
+    the words from one on are replaced by the first ones of them, over and over."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", F.col("text").cast("string").alias("text"), h.alias("h"))
+    d = d.withColumn("words", F.when(F.col("h") % 10 == 0, F.array_remove(F.split("text", "[ \\x09-\\x0D]+"), "")))
+    d = d.withColumn("g", F.floor(F.col("h") / 10)).withColumn("n", F.size("words"))
+    d = d.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    d = d.withColumn("p", (F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8))).cast("int"))
+    left = F.col("n") - F.col("a")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(left / F.col("p")).cast("int"))), 1, left)
+    return d.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(F.concat(F.slice("words", 1, F.col("a")), tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(with_periodic_tails(_table(spark, sf_dir, "documents"))).withColumn("best", periodic.best(F.col("runs")))
+    top = [F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")]
+    return found.select(F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), *top,
+                        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                        F.sha2(periodic.lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_secrets, op3_url_filter, op4_pii, op5_suffix_dedup, op6_packing, op7_toxicity, op8_quality_rules, op9_simhash_dedup, op10_mixing)}
+    op1_exact_dedup, op2_secrets, op3_url_filter, op4_pii, op5_suffix_dedup, op6_packing, op7_toxicity, op8_quality_rules, op9_simhash_dedup, op10_mixing,
+    op11_periodic_runs)}
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": oracles.OP1,
     "op3_url_filter": oracles.op3(URL_RULES, LISTED_LABELS, urls.TRACKING),
