@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import exact_dedup, mixing, oracles, packing, periodic, pii, quality_rules, secrets, simhash, suffix_dedup, toxicity, urls
+from lakeforge.llm import exact_dedup, hard_negatives, mixing, oracles, packing, periodic, pii, quality_rules, secrets, simhash, suffix_dedup, toxicity, urls
 from lakeforge.session import configure
 
 
@@ -103,13 +103,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(periodic.lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), anchors=F.col("vec_id") % 50 == 0, label=label, scale=256, positives=5, negatives=3, window=(50, 95))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_secrets, op3_url_filter, op4_pii, op5_suffix_dedup, op6_packing, op7_toxicity, op8_quality_rules, op9_simhash_dedup, op10_mixing,
-    op11_periodic_runs)}
+    op11_periodic_runs, op12_hard_negatives)}
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": oracles.OP1,
     "op3_url_filter": oracles.op3(URL_RULES, LISTED_LABELS, urls.TRACKING),
     "op5_suffix_dedup": oracles.OP5,
     "op8_quality_rules": oracles.op8(quality_rules.Limits()),
     "op10_mixing": oracles.OP10,
+    "op12_hard_negatives": oracles.OP12,
 }
