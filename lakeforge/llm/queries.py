@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import exact_dedup, hard_negatives, mixing, oracles, packing, periodic, pii, quality_rules, secrets, simhash, suffix_dedup, toxicity, urls
+from lakeforge.llm import exact_dedup, hard_negatives, language, mixing, oracles, packing, periodic, pii, quality_rules, secrets, simhash, suffix_dedup, toxicity, urls
 from lakeforge.session import configure
 
 
@@ -108,9 +108,17 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), anchors=F.col("vec_id") % 50 == 0, label=label, scale=256, positives=5, negatives=3, window=(50, 95))
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = language.fit(docs, use=fold != 1)
+    return language.predict(docs, model).withColumnRenamed("id", "doc_id").select(
+        "doc_id", (F.coalesce(fold, F.lit(-1)) == 1).alias("held_out"), F.col("lang").alias("lang_pred"), "score", "accepted")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_secrets, op3_url_filter, op4_pii, op5_suffix_dedup, op6_packing, op7_toxicity, op8_quality_rules, op9_simhash_dedup, op10_mixing,
-    op11_periodic_runs, op12_hard_negatives)}
+    op11_periodic_runs, op12_hard_negatives, op13_language)}
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": oracles.OP1,
     "op3_url_filter": oracles.op3(URL_RULES, LISTED_LABELS, urls.TRACKING),
