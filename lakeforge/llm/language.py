@@ -8,9 +8,9 @@ all its subwords; a linear layer and a softmax over it give the languages.
 
 Training, on a bounded sample:
 
-1. Spark picks at most ``max_train`` labelled rows, taking the languages in
-   turn (so that a rare language is learned too), each by smallest hashed id.
-   Tasks count the subwords of the whole texts; a text sends the driver its
+1. Spark picks at most ``max_train`` labelled rows, as evenly by language as
+   their numbers allow (a rare language is learned too), each language's by
+   smallest hashed id. Tasks count the subwords of the whole texts; a text sends the driver its
    share of each bucket, at most 2^14 pairs of 6 bytes.
 2. Four fifths of the sample train embeddings and layer, in minibatches with a
    falling learning rate and a fixed seed.
@@ -207,15 +207,32 @@ def _least_score(score: np.ndarray, right: np.ndarray, weight: np.ndarray, max_e
     return float(score[order][good[-1]]) if len(good) else 2.0
 
 
+def _quotas(total: dict[str, int], rows: int) -> dict[str, int]:
+    """How many rows of each language to take, as evenly as their numbers allow."""
+    out, left = {}, rows
+    for k, (lang, n) in enumerate(sorted(total.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(n, left // (len(total) - k))
+        left -= out[lang]
+    return out
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", use: Column | None = None,
         max_train: int = 3000, max_error: float = 0.01, strange: float = 0.002) -> Model:
     """``use``: which rows may be learned from."""
     given = docs.where(quoted(id_col).isNotNull() & quoted(lang_col).isNotNull() & (F.lit(True) if use is None else use))
     rows = given.select(quoted(id_col).alias("id"), quoted(lang_col).cast("string").alias("lang"), quoted(text_col).isNotNull().alias("some")).where("some").drop("some")
-    order = [F.xxhash64(F.lit("language"), "id"), F.col("id")]
-    turn = rows.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("turn") <= max_train)
-    # at most max_train ids; of rows with one id and language the greatest text is used
-    chosen = turn.orderBy("turn", *order).limit(max_train).select("id", "lang", (F.col("turn") % 5 == 0).alias("check")).dropDuplicates(["id", "lang"])
+    # a language needs one row at least: at most max_train languages, the most frequent ones
+    total = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(max_train).collect()}
+    if not total:
+        return Model((), np.zeros((1 << BITS, 0), np.float32), np.zeros(0), np.zeros(1 << BITS, bool))
+    wanted = _quotas(total, max_train)
+    quota = docs.sparkSession.createDataFrame([(x, q, total[x]) for x, q in wanted.items()], "lang string, quota int, total bigint")
+    # hashed ids are uniform: below the cut there are about half as many rows again as wanted, whatever the size
+    hashed = F.pmod(F.xxhash64(F.lit("language"), "id"), F.lit(1 << 40))
+    few = rows.join(F.broadcast(quota), "lang").withColumn("place", hashed).where(F.col("place") / float(1 << 40) * F.col("total") < 1.5 * F.col("quota") + 50)
+    turn = few.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("place", "id"))).where(F.col("turn") <= F.col("quota"))
+    # of rows with one id and language the greatest text is used
+    chosen = turn.select("id", "lang", (F.col("turn") % 5 == 0).alias("check")).dropDuplicates(["id", "lang"])
     texts = given.select(quoted(id_col).alias("id"), quoted(lang_col).cast("string").alias("lang"), utf8(f"`{text_col}`").alias("text"))
     sample = texts.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang", "check").agg(F.max("text").alias("text"))
     got = sample.select("lang", "text", "check").mapInArrow(_shares, "lang string, check boolean, places binary, shares binary").toArrow()
@@ -234,7 +251,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     held = np.flatnonzero(check)
     if not len(held):
         return Model(langs, table, bias, known)
-    total = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().where(F.col("lang").isin(*langs)).collect()}
     weight = (np.array([total[x] for x in langs]) / np.maximum(np.bincount(y[held], minlength=len(langs)), 1))[y[held]]
     row, place, share = data.take(held)
     z = np.stack([np.bincount(row, share * table[place, k], len(held)) for k in range(len(langs))], axis=1) + bias

@@ -134,6 +134,11 @@ def test_temperature_and_least_score():
     assert language._least_score(score, ~right, np.ones(5), 0.1) == 2.0
 
 
+def test_quotas_share_rows_evenly():
+    assert language._quotas({"a": 1000, "b": 2, "c": 50, "d": 9000}, 100) == {"a": 33, "b": 2, "c": 32, "d": 33}
+    assert language._quotas({"a": 3}, 100) == {"a": 3} and sum(language._quotas({str(i): 9 for i in range(7)}, 20).values()) == 20
+
+
 def test_rare_languages_are_learned_too(spark):
     rng = random.Random(7)
     rows = [(i, text(rng, "aa" if i % 200 else "bb", 30), "aa" if i % 200 else "bb") for i in range(2000)]
