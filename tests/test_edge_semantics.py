@@ -118,3 +118,22 @@ def test_checkpoint_owner_is_on_storage(spark):
     assert listing(spark, ckpt) == [INC.OWNER]
     with pytest.raises(ValueError, match="belongs to query a"):
         INC.claim_checkpoint(spark, ckpt, "b")
+
+
+def test_nest_of_equal_rows_needs_no_array_of_their_number(spark):
+    """Millions of equal rows come back whole, in chunks of about the bound."""
+    from lakeforge.functions import nested as N
+    rows = spark.range(3_000_000).select(F.lit(1).alias("g"), F.lit("same").alias("v")).unionByName(
+        spark.range(5000).select(F.lit(1).alias("g"), F.col("id").cast("string").alias("v")))
+    chunks = N.nest(rows, ["g"], ["v"], "items", max_items=1000)
+    sizes = chunks.select(F.size("items").alias("n"))
+    got = sizes.agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.count("n").alias("chunks")).first()
+    assert got["all"] == 3_005_000 and got["most"] < 3000 and 2900 <= got["chunks"] <= 3005
+    assert chunks.select(F.inline("items")).where("v = 'same'").count() == 3_000_000
+
+
+def test_numbers_come_in_blocks(spark):
+    from lakeforge.functions import nested as N
+    df = spark.createDataFrame([("a", 1), ("b", 10_000), ("c", N._BLOCK)], "k STRING, n BIGINT")
+    got = N._numbers(df, F.col("n"), "i").groupBy("k").agg(F.count("i").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi"), F.count_distinct("i").alias("d")).collect()
+    assert {r["k"]: (r["n"], r["lo"], r["hi"], r["d"]) for r in got} == {"a": (1, 0, 0, 1), "b": (10_000, 0, 9999, 10_000), "c": (N._BLOCK, 0, N._BLOCK - 1, N._BLOCK)}
