@@ -12,15 +12,18 @@ moving frames across segment boundaries exactly.
 
 ``skew_safe_window`` cuts only hot keys (``skew.hot_keys``: more rows than
 one task should sort; the list has a proven size bound and is broadcast)
-into segments; every other key is one segment, which is the plain window. A segment must
-itself be bounded for the guarantee to hold, e.g. (date, block of unique
-ids).
+into segments; every other key is one segment, which is the plain window.
+Without a segment expression the cuts come from a sample of the hot key's
+rows (``operators.cuts``): segments follow the rows, whatever the values, and
+the summary has one row for each ``cuts.ROWS_PER_SEGMENT`` of them. A given
+expression must itself be bounded, e.g. (date, block of unique ids).
 
 For ``range_sum`` the segment must keep peers (equal RANGE order values)
 together, e.g. the order date itself.
 
 Specs: ``{out: (kind, column[, k])}`` with kind one of ``running_sum``,
-``lag``, ``lead``, ``first``, ``moving_sum`` and ``moving_count`` (a frame
+``lag``, ``lead``, ``first``, ``last_known`` (the last value that is not
+NULL, the current row's included), ``moving_sum`` and ``moving_count`` (a frame
 of the current row and the k-1 before it), or ``range_sum`` whose third
 item is the RANGE ordering (peers share one sum), or ``row_number``,
 ``rank`` and ``dense_rank`` (column ``None``; for the last two the third
@@ -35,6 +38,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeforge.operators.cuts import ROWS_PER_SEGMENT, order_cuts, segment_of
 from lakeforge.operators.skew import hot_keys
 
 Spec = dict[str, tuple]
@@ -54,6 +58,7 @@ def plain_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs
             "lag": lambda: F.lag(c).over(w),
             "lead": lambda: F.lead(c).over(w),
             "first": lambda: F.first(c).over(w),
+            "last_known": lambda: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
             "moving_sum": lambda: F.sum(c).over(w.rowsBetween(-(k - 1), 0)),
             "moving_count": lambda: F.count(c).over(w.rowsBetween(-(k - 1), 0)),
             "range_sum": lambda: F.sum(c).over(Window.partitionBy(*keys).orderBy(*_order_cols(k))),
@@ -116,6 +121,9 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
         elif kind == "first":
             local[f"_l_{out}"] = F.first(c).over(wl)
             seg_aggs.append(F.min_by(c, order_struct()).alias(f"_s_{out}"))
+        elif kind == "last_known":
+            local[f"_l_{out}"] = F.last(c, ignorenulls=True).over(wl.rowsBetween(Window.unboundedPreceding, 0))
+            seg_aggs.append(F.max_by(c, F.when(F.col(c).isNotNull(), order_struct())).alias(f"_s_{out}"))
         elif kind in ("row_number", "rank", "dense_rank"):
             # Rank = local rank + rows (or distinct rank values) of earlier
             # segments; peers of the rank order must share a segment.
@@ -150,6 +158,8 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
             carry[f"_c_{out}"] = F.lag(s).over(ws)
         elif kind == "lead":
             carry[f"_c_{out}"] = F.lead(s).over(ws)
+        elif kind == "last_known":
+            carry[f"_c_{out}"] = F.last(s, ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1))
         elif kind == "first":
             carry[f"_c_{out}"] = F.first(s).over(ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     if tail_cols:
@@ -169,6 +179,8 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
             final[out] = F.when(F.col("_pos") == 1, F.col(f"_c_{out}")).otherwise(F.col(f"_l_{out}"))
         elif kind == "lead":
             final[out] = F.when(F.col("_pos") == F.col("_cnt"), F.col(f"_c_{out}")).otherwise(F.col(f"_l_{out}"))
+        elif kind == "last_known":
+            final[out] = F.coalesce(F.col(f"_l_{out}"), F.col(f"_c_{out}"))
         elif kind == "first":
             final[out] = F.when(F.col("_has"), F.col(f"_c_{out}")).otherwise(F.col(f"_l_{out}"))
         else:
@@ -212,16 +224,21 @@ def _null_add(a: Column, b: Column) -> Column:
     return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
 
 
-def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
+def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column | None,
                      specs: Spec, hot_fraction: float | None = None, force_segmented: bool = False,
-                     sample_fraction: float | None = None, materialize: bool = False) -> DataFrame:
+                     sample_fraction: float | None = None, materialize: bool = False,
+                     rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
     """One pass for all keys: hot keys are cut into segments, every other
     key is a single segment (its segment value is NULL), so cold keys get
     exactly the plain window while the data is scanned and shuffled once,
     on (key, segment). The hot-key flag is a broadcast join against a list
     with a proven size bound."""
     if force_segmented:
+        if segment is None:
+            raise ValueError("force_segmented needs a segment expression")
         return segmented_window(df, keys, order, segment, specs)
+    if segment is None and not all(isinstance(o, str) for o in order):
+        raise ValueError("sampled cuts need an ascending order by column names")
     if len(keys) != 1:
         raise ValueError("skew_safe_window splits on a single key column")
     key = keys[0]
@@ -237,14 +254,19 @@ def skew_safe_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     if not hot_list.limit(1).collect():
         return plain_window(df, keys, order, specs)
     # NULL is a key like any other here, and may be a hot one
-    hot = F.broadcast(hot_list.select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
+    if segment is None:
+        hot = F.broadcast(order_cuts(df, key, list(order), hot_list, rows_per_segment).withColumn("_is_hot", F.lit(True)))
+        segment = segment_of(list(order))
+    else:
+        hot = F.broadcast(hot_list.select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
     flagged = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
     is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
     # (False, NULL) for every row of a cold key: one segment. Struct equality
     # treats the NULL fields as equal, so the joins stay plain equi-joins on
     # (key, segment) and reuse the data's partitioning.
     seg = F.struct(is_hot.alias("h"), F.when(is_hot, segment).alias("s"))
-    return segmented_window(flagged, keys, order, seg, specs, summarize=F.col("_seg._cut.h")).drop("_is_hot")
+    flagged = flagged.withColumn("_segment", seg).drop("_cuts", "_is_hot")      # the cuts do not travel with the rows
+    return segmented_window(flagged, keys, order, F.col("_segment"), specs, summarize=F.col("_segment.h")).drop("_segment")
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -279,7 +301,7 @@ def ranks_by_counting(df: DataFrame, keys: Sequence[str], by: str, tiebreak: str
     return join_null_safe(placed, ties, [*keys, by], "left").withColumn("row_number", F.col("rank") + F.col("_place") - 1).drop("_place")
 
 
-def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int, segment: Column,
+def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int, segment: Column | None = None,
                hot_fraction: float | None = None, force_segmented: bool = False) -> DataFrame:
     """Session windows per key as gaps and islands: a row starts a session
     when the previous row of its key is ``gap_seconds`` or more before it.

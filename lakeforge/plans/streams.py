@@ -66,7 +66,7 @@ def ex_27_session(spark, sf_dir):
     """Gaps-and-islands sessions over the skew-safe window (no user has to
     fit in one task)."""
     ev = raw(spark, sf_dir, "events")
-    return WIN.sessionize(ev, "user_id", "ts", "event_id", 30 * 60, _event_segment())
+    return WIN.sessionize(ev, "user_id", "ts", "event_id", 30 * 60)
 
 
 @query("ex_27_session_window_segmented", oracle=SESSION_SQL)
