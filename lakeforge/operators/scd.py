@@ -12,9 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeforge.operators.relational import latest_per_key
+from lakeforge.operators.windows import skew_safe_window
 
 
 def apply_scd1(changes: DataFrame, keys: Sequence[str], sequence: str, op: str = "op",
@@ -26,19 +26,17 @@ def apply_scd1(changes: DataFrame, keys: Sequence[str], sequence: str, op: str =
 
 
 def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence: str, op: str = "op",
-               delete_value: str = "delete", segment_width: int = 1_000_000) -> DataFrame:
+               delete_value: str = "delete", segment_width: int | None = None) -> DataFrame:
     """One row per version: ``valid_from`` = its sequence, ``valid_to`` = the
     next change's sequence (NULL while current); deletes close the last
     version and add none.
 
-    Keys of one column with very many changes are cut into ranges of
-    ``segment_width`` of a numeric sequence and windowed piecewise
-    (``operators.windows``), so one hot key does not fill one task; 0, keys
-    of several columns and other sequences use the plain window."""
-    numeric = isinstance(changes.schema[sequence].dataType, T.NumericType)
-    if segment_width and numeric and len(keys) == 1:
-        from lakeforge.operators.windows import skew_safe_window
-        seg = F.floor(F.col(sequence) / F.lit(segment_width))
+    A key of one column with very many changes is cut into segments by
+    sampled sequences (``operators.windows``), or into ranges of
+    ``segment_width`` of a numeric sequence; keys of several columns use the
+    plain window."""
+    if len(keys) == 1:
+        seg = None if segment_width is None else F.floor(F.col(sequence) / F.lit(segment_width))
         versions = skew_safe_window(changes, keys, [sequence], seg, {"valid_to": ("lead", sequence)})
     else:
         w = Window.partitionBy(*keys).orderBy(sequence)

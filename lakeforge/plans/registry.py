@@ -85,6 +85,8 @@ MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "pt_05_range_partitions": ("lo", "hi"),
     "ex_13_cdc_scd1": ("c_acctbal",),
     "ex_13_cdc_scd2": ("c_acctbal",),
+    "ex_13_cdc_scd1_stream": ("c_acctbal",),
+    "ex_13_cdc_scd2_stream": ("c_acctbal",),
     "ex_15_change_feed_between_snapshots": ("c_acctbal",),
 }
 
