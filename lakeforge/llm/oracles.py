@@ -10,7 +10,7 @@ FROM d WINDOW g AS (PARTITION BY t)
 """
 
 
-def op3(rules, labels, tracking) -> str:
+def op3(rules, words, share, tracking) -> str:
     def fits(text: str) -> str:
         host, slash, path = text.partition("/")
         return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{slash}{path}'))"
@@ -20,8 +20,8 @@ def op3(rules, labels, tracking) -> str:
     said = " ".join(f"WHEN {fits(t)} THEN '{v}'" for v, t in longest)
     dropped = " OR ".join(f"starts_with(x, '{t}')" for t in tracking)
     return f"""
-WITH r AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-p AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+WITH r AS (SELECT page_id, url, regexp_replace(html, '<[^>]*>', ' ', 'g') AS body, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, url, body, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
         list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT ({dropped}))) AS params
       FROM r),
@@ -29,7 +29,8 @@ c AS (SELECT *, CASE {rule} END AS rule, CASE {said} END AS said,
         CASE WHEN instr(url, '://') > 0 THEN regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '/+$', '')
              || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canon
       FROM p),
-l AS (SELECT DISTINCT canon FROM c WHERE canon IS NOT NULL AND list_has_any(string_split(host, '.'), {list(labels)!r}))
+l AS (SELECT DISTINCT canon FROM c WHERE canon IS NOT NULL AND (list_has_any(regexp_split_to_array(host, '[.-]'), {list(words)!r})
+      OR (len(regexp_extract_all(body, '{WORD}')) > 0 AND len(regexp_extract_all(body, '[#*$%|!]{{2,}}')) >= {share} * len(regexp_extract_all(body, '{WORD}')))))
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN l.canon IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM c LEFT JOIN l ON c.canon = l.canon
 """

@@ -28,14 +28,15 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Fixed by the query: rules by host and path.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
-#: Host labels whose pages' URLs make up the list.
-LISTED_LABELS = ("spam-farm", "cheap-pills")
+#: A page is listed for its text or for a word of its host.
+SPAM_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
+JUNK_SHARE = 0.1
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(F.arrays_overlap(F.split(urls.host_of(F.col("url")), "\\."), F.array(*map(F.lit, LISTED_LABELS)))).select("url")
-    return urls.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    listed = pages.where(urls.junk_page(F.col("html"), JUNK_SHARE) | urls.spam_host(urls.host_of(F.col("url")), SPAM_WORDS)).select("url")
+    return urls.judge(pages.drop("html"), listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +122,7 @@ QUERIES = {f.__name__: f for f in (
     op11_periodic_runs, op12_hard_negatives, op13_language)}
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": oracles.OP1,
-    "op3_url_filter": oracles.op3(URL_RULES, LISTED_LABELS, urls.TRACKING),
+    "op3_url_filter": oracles.op3(URL_RULES, SPAM_WORDS, JUNK_SHARE, urls.TRACKING),
     "op5_suffix_dedup": oracles.OP5,
     "op8_quality_rules": oracles.op8(quality_rules.Limits()),
     "op10_mixing": oracles.OP10,

@@ -70,6 +70,24 @@ def _tracking(param: Column) -> Column:
     return hit
 
 
+#: Two or more marks in a row that running text does not have.
+MARKS = "[#*$%|!]{2,}"
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
+
+def junk_page(html: Column, share: float = 0.1) -> Column:
+    """Whether a page's text, without its tags, has runs of marks for at least
+    ``share`` of its words. A null page is not junk, one without a word neither."""
+    text = F.regexp_replace(html, "<[^>]*>", " ")
+    words = F.regexp_count(text, F.lit(_WORD))
+    return F.coalesce((words > 0) & (F.regexp_count(text, F.lit(MARKS)) >= F.lit(share) * words), F.lit(False))
+
+
+def spam_host(host: Column, words: tuple[str, ...]) -> Column:
+    """Whether a part of the host, between dots and hyphens, is one of ``words``."""
+    return F.arrays_overlap(F.split(host, "[.-]"), F.array(*map(F.lit, words)))
+
+
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits, else nulls. Of rules of
     the same length the one given first wins."""

@@ -5,6 +5,7 @@ import re
 
 import pytest
 from lakeforge.llm import urls as U
+from lakeforge.llm.queries import SPAM_WORDS, op3_url_filter
 from pyspark.sql import functions as F
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -67,3 +68,45 @@ def test_empty(spark):
     some = spark.createDataFrame([("http://bad.com/",), (None,)], "url string")
     assert U.judge(none, some, RULES).count() == 0
     assert [r["verdict"] for r in U.judge(some, none, RULES).collect()] == ["allow", "allow"]
+
+
+def junk(html):
+    if html is None:
+        return False
+    text = re.sub("<[^>]*>", " ", html)
+    words = len(re.findall(r"[^\x20\x09-\x0D]+", text))
+    return words > 0 and len(re.findall(r"[#*$%|!]{2,}", text)) >= 0.1 * words
+
+
+def test_query_lists_by_page_text_and_host_words(spark, tmp_path):
+    """Variants of a listed URL are blocked though their own text is clean and
+    no host word gives them away; rules still win."""
+    bad, good = "<p>buy*** now!!! at*** once</p>", "<b>plain words of a page ## here and so on and on and on</b>"
+    pages = [("http://www.shop.org/a/?utm_source=x", bad), ("https://shop.org/a", good), ("https://m.shop.org/a/#top", None), ("https://shop.org/b", good),
+             ("http://blog.casino-win.com/x", good), ("http://casinos.com/x", good), ("http://shop.net/c", bad), ("https://x.example.net/en/1", bad), ("https://x.example.net/en/1/", good),
+             (None, bad), ("no url", bad), ("http://empty.org/", "<p></p>"), ("http://empty.org/null", None), ("http://shop.org/a?page=2", good)]
+    rows = [(i, u, h) for i, (u, h) in enumerate(pages * 2)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4).write.parquet(f"{tmp_path}/pages.parquet")
+    words = set(SPAM_WORDS)
+    listed = {parts(u)[2] for u, h in pages if junk(h) or words & set(re.split("[.-]", parts(u)[0]))} - {None}
+    got = {r.page_id: tuple(r)[1:] for r in op3_url_filter(spark, str(tmp_path)).collect()}
+    assert got == {i: judged(u, listed) for i, u, _ in rows}
+    verdicts = [got[i][3] for i in range(len(pages))]
+    assert verdicts == ["block", "block", "block", "allow", "block", "allow", "block", "allow", "allow", "allow", "allow", "allow", "allow", "allow"]
+
+
+def test_filter_and_join_both_decide(spark, monkeypatch):
+    """With a filter that lets nothing through no listed URL is blocked; with
+    one block full of bits all goes to the join, which still tells apart; and
+    without the join's check false hits would be blocked."""
+    listed = [f"http://bad{i}.com/p" for i in range(300)]
+    urls = [f"https://www.bad{i}.com/p/" for i in range(0, 600)]
+    pages, entries = spark.createDataFrame([(u,) for u in urls], "url string"), spark.createDataFrame([(u,) for u in listed], "url string")
+    blocked = lambda **how: {r.url for r in U.judge(pages, entries, [], **how).where("verdict = 'block'").collect()}
+    right = set(urls[:300])
+    assert blocked() == right and blocked(max_blocks=1) == right
+    full = U.bloom_blocks(entries.select(U.canonical(F.col("url")).alias("u")), "u", 1).first()["bits"]
+    false_hits = pages.withColumn("m", U._bits(U.canonical(F.col("url")))).where((F.lit(full).bitwiseAND(F.col("m")) == F.col("m")) & ~F.col("url").isin(*right)).count()
+    assert false_hits > 0                                        # the join removes these
+    monkeypatch.setattr(U, "bloom_blocks", lambda df, col, blocks: spark.createDataFrame([], "block bigint, bits bigint"))
+    assert blocked() == set()                                    # and the filter is what lets the others reach it
