@@ -44,15 +44,19 @@ class WordIds(dict):
 
     The tokenizer's pre-tokens never reach over white space and it ignores
     A-Z's case, so a text's ids are its lower-cased chunks' ids one after
-    the other, and a chunk is tokenized once."""
+    the other, and a chunk is tokenized once. A text that holds the spelling
+    of a special token goes to the tokenizer whole, unless ``spell_out`` makes
+    such a spelling plain text."""
 
     _plain = re.compile("[a-z\xdf-\xf6\xf8-\xff]+").fullmatch
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, spell_out: bool = False):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = spell_out
+        special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._special = re.compile(b"|".join(map(re.escape, special))).search if special and not spell_out else None
         # byte-level spelling of non-ASCII letters, as the vocabulary writes them
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
@@ -80,17 +84,20 @@ class WordIds(dict):
         return ids
 
     def text(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        low = text.lower()
+        if self._special and self._special(low):
+            return self._encode(text.decode())
+        return b"".join(map(self.__getitem__, low.split()))
 
 
-_WORKER: dict[str, WordIds] = {}
+_WORKER: dict[tuple[str, bool], WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, spell_out: bool) -> WordIds:
     """One for each Python worker, kept from task to task."""
-    if path not in _WORKER:
-        _WORKER[path] = WordIds(path)
-    return _WORKER[path]
+    if (path, spell_out) not in _WORKER:
+        _WORKER[path, spell_out] = WordIds(path, spell_out)
+    return _WORKER[path, spell_out]
 
 
 def default_tokenizer() -> str:
@@ -98,13 +105,13 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pieces(docs: DataFrame, id_col: str, text_col: str, length: int, tokenizer: str | None, end_id: int) -> DataFrame:
+def pieces(docs: DataFrame, id_col: str, text_col: str, length: int, tokenizer: str | None, end_id: int, spell_out: bool = False) -> DataFrame:
     """``(id, piece, start, length, ids_crc32)`` of every piece."""
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()),
                            *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")]])
 
     def cut(batches):
-        words = word_ids(tokenizer or default_tokenizer())
+        words = word_ids(tokenizer or default_tokenizer(), spell_out)
         end = array("I", [end_id]).tobytes()
         for b in batches:
             row, piece, start, size, crc = [], [], [], [], []
@@ -337,10 +344,13 @@ def _packer(length: int):
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 2048, tokenizer: str | None = None,
-         end_id: int = 0, group: int = 20_000) -> DataFrame:
+         end_id: int = 0, group: int = 20_000, spell_out: bool = False) -> DataFrame:
     """One row per piece: ``id_col``, piece, start, length, ids_crc32,
-    sequence_id, offset. ``tokenizer`` is the path of a vocabulary file."""
-    table = save(pieces(docs, id_col, text_col, length, tokenizer, end_id).withColumn("row_no", F.monotonically_increasing_id()), "pieces")
+    sequence_id, offset. ``tokenizer`` is the path of a vocabulary file.
+    With ``spell_out`` a literal special token in a text, such as an end
+    mark, is tokenized as the plain text it is, so that no document can put
+    its id into a sequence."""
+    table = save(pieces(docs, id_col, text_col, length, tokenizer, end_id, spell_out).withColumn("row_no", F.monotonically_increasing_id()), "pieces")
     left, n, places, turn = table.select("row_no", "length"), table.count(), None, 0
     while True:
         groups = max(1, -(-n // group))

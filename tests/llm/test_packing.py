@@ -11,9 +11,7 @@ from lakeforge.llm import packing as P
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(P.default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(P.default_tokenizer())
 
 
 def test_ids_of_whole_texts(tokenizer, spark, sf):
@@ -92,12 +90,25 @@ def test_a_bin_that_stays_does_not_stop_the_emptying():
     assert search._empty() and sum(1 for b in search.bins if b) == 3
 
 
-def test_special_markers_are_spelled_out():
-    """Against the tokenizer as loaded: the same ids but for a literal special marker, which README says is text."""
+SPECIAL = ["a <|endoftext|> b", "<|startoftext|>x", "x<|ENDOFTEXT|>y É", "<|endoftext|><|endoftext|>", " <|endoftext|>\n", "<|endoftext", "<| endoftext |>", "it's a<b|c>"]
+
+
+def test_special_tokens_as_the_tokenizer_has_them(tokenizer):
+    words = P.WordIds(P.default_tokenizer())
+    for t in SPECIAL:
+        assert words.text(t.encode()) == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+
+
+def test_special_tokens_spelled_out(tokenizer):
     from tokenizers import Tokenizer
-    loaded, words = Tokenizer.from_file(P.default_tokenizer()), P.WordIds(P.default_tokenizer())
-    ids = lambda t: np.array(loaded.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-    for t in ["", "Hello, World! it's a<b|c>", "İstanbul 日本語 3.14", "<| endoftext |>", "x" * 300]:
-        assert words.text(t.encode()) == ids(t), t
-    for t in ["a <|endoftext|> b", "<|startoftext|>x"]:
-        assert len(words.text(t.encode())) > len(ids(t)), t
+    plain, words = Tokenizer.from_file(P.default_tokenizer()), P.WordIds(P.default_tokenizer(), spell_out=True)
+    plain.encode_special_tokens = True
+    for t in SPECIAL:
+        assert words.text(t.encode()) == np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+    end = tokenizer.encode("<|endoftext|>", add_special_tokens=False).ids
+    assert len(end) == 1 and not set(end) & set(np.frombuffer(words.text(b"a <|endoftext|> b"), "<u4").tolist())
+
+
+def test_pieces_of_texts_with_special_tokens(spark, tokenizer):
+    rows = list(enumerate(SPECIAL * 3))
+    check(P.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), length=6).collect(), rows, tokenizer, 6)
