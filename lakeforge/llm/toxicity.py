@@ -16,8 +16,11 @@ features. From a bounded sample of labelled texts:
 The score of a text is the logistic function of the intercept and the sum of
 weight x value over the kept n-grams of the whole text.
 
-What reaches the driver is bounded by parameters: ``features`` counts, and
-for each of at most ``max_train`` texts the kept features it holds. The sample is the labelled texts with the smallest hashed ids.
+What reaches the driver is bounded by parameters: ``features`` counts, and at
+most ``max_entries`` entries of 4 bytes, one for each kept feature of a text.
+The sample is the at most ``max_train`` labelled texts with the smallest
+hashed ids; the regression uses as many of them, in that order and whole, as
+``max_entries`` holds (20,000 texts of 800 kept features each by default).
 
 Defined results: a null or empty text holds no n-gram; its score is the
 intercept's. A null or other label than 0 and 1, or a null id, is not used; a text with
@@ -100,18 +103,23 @@ def _count(batches):
 
 
 def _design(features: np.ndarray):
-    """Label and kept features of each text, with how often it holds them."""
+    """Turn, label and entries of each text: the kept features that it holds,
+    as 16-bit places, and log2(1 + times) of each, as 16-bit floats."""
+    place = np.zeros(1 << BITS, np.uint16)
+    place[features] = np.arange(len(features))
+
     def run(batches):
         wanted = _marked(features)
         for b in batches:
-            data, off = flat(b.column(1))
-            parts = [held(data[off[i]:off[j]], off[i:j + 1] - off[i], wanted) for i, j in steps(off)]
-            lists: tuple[list, list] = ([], [])
-            for (i, j), (row, *found) in zip(steps(off), parts):
+            data, off = flat(b.column(2))
+            places, values = [], []
+            for i, j in steps(off):
+                row, feature, times = held(data[off[i]:off[j]], off[i:j + 1] - off[i], wanted)
                 cut = np.searchsorted(row, np.arange(1, j - i))
-                for out, values in zip(lists, found):
-                    out += [x.tolist() for x in np.split(values, cut)]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), *[pa.array(x, pa.list_(pa.int64())) for x in lists]], ["label", "features", "times"])
+                places += [x.tobytes() for x in np.split(place[feature], cut)]
+                values += [x.tobytes() for x in np.split(np.log2(1 + times).astype(np.float16), cut)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(x) // 2 for x in places], pa.int32()), pa.array(places, pa.binary()), pa.array(values, pa.binary())],
+                                             ["turn", "label", "entries", "places", "values"])
     return run
 
 
@@ -160,18 +168,21 @@ def _logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndar
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", use: Column | None = None,
-        max_train: int = 20_000, features: int = 4096, penalty: float = 1.0, alpha: float = 1.0) -> Model:
+        max_train: int = 20_000, features: int = 4096, penalty: float = 1.0, alpha: float = 1.0, max_entries: int = 1 << 24) -> Model:
     """``use``: which rows of ``labels`` may be learned from."""
+    if not 0 < features <= 1 << 16:
+        raise ValueError("features must fit 16 bits")
     known = labels.where(quoted(label_col).isin(0, 1) & quoted(id_col).isNotNull() & (F.lit(True) if use is None else use))
     known = known.groupBy(quoted(id_col).alias("id")).agg(F.max(quoted(label_col)).cast("int").alias("label"))
     # at most max_train rows
     chosen = known.orderBy(F.xxhash64(F.lit("train"), "id"), "id").limit(max_train)
-    sample = save(docs.select(quoted(id_col).alias("id"), utf8(f"`{text_col}`").alias("text")).join(F.broadcast(chosen), "id").select("label", "text"), "train")
+    texts = docs.select(quoted(id_col).alias("id"), utf8(f"`{text_col}`").alias("text"))
+    sample = save(texts.join(F.broadcast(chosen), "id").select(F.xxhash64(F.lit("train"), "id").alias("turn"), "label", "text"), "train")
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     other, toxic = n.get(0, 0), n.get(1, 0)
     if not other or not toxic:
         return Model(np.zeros(0, np.int64), np.zeros(0), np.inf if toxic else -np.inf)
-    counts = sample.mapInArrow(_count, "feature bigint, other bigint, toxic bigint").groupBy("feature").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
+    counts = sample.select("label", "text").mapInArrow(_count, "feature bigint, other bigint, toxic bigint").groupBy("feature").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     seen = F.col("other") + F.col("toxic")
     apart = F.col("toxic") * float(other) - F.col("other") * float(toxic)
     chi2 = apart * apart / (seen * (float(other + toxic) - seen + 1.0))
@@ -181,14 +192,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen_features = np.array([r["feature"] for r in best], np.int64)
     ratio = (np.log((np.array([r["toxic"] for r in best]) + alpha) / (toxic + 2 * alpha))
              - np.log((np.array([r["other"] for r in best]) + alpha) / (other + 2 * alpha)))
-    table = sample.mapInArrow(_design(chosen_features), "label int, features array<bigint>, times array<bigint>").toArrow()
-    lists = table.column("features").combine_chunks()
-    rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-    place = np.zeros(1 << BITS, np.int64)
-    place[chosen_features] = np.arange(len(chosen_features))
-    cols = place[lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)]
-    times = table.column("times").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    w, b = _logistic(rows, cols, ratio[cols] * np.log2(1 + times), table.column("label").to_numpy().astype(float), len(ratio), penalty)
+    design = save(sample.mapInArrow(_design(chosen_features), "turn bigint, label int, entries int, places binary, values binary"), "design")
+    # whole texts in the order of their turn, as many as the driver may hold entries
+    sizes = sorted((r["turn"], r["entries"]) for r in design.select("turn", "entries").collect())
+    within = int(np.searchsorted(np.cumsum([n for _, n in sizes]), max_entries, "right"))
+    if within < len(sizes):
+        design = design.where(F.col("turn") < sizes[within][0])
+    table = design.select("label", "places", "values").orderBy("turn", "places").toArrow()
+    size = np.array([len(x) // 2 for x in table.column("places").to_pylist()], np.int64)
+    rows = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    cols = np.frombuffer(b"".join(table.column("places").to_pylist()), np.uint16).astype(np.int32)
+    logs = np.frombuffer(b"".join(table.column("values").to_pylist()), np.float16).astype(np.float32)
+    ratio32 = ratio.astype(np.float32)
+    w, b = _logistic(rows, cols, ratio32[cols] * logs, table.column("label").to_numpy().astype(float), len(ratio), penalty)
     return Model(chosen_features, w * ratio, b)
 
 

@@ -69,3 +69,62 @@ def test_few_labels(spark, odd, empty):
     assert len(some) == odd.count() and all(0 <= s <= 1 for s in some)
     assert scores(empty, labels((1, 1), (6, 0))) == []
     assert X.fit(empty, labels((1, 1), (6, 0))).features.size == 0
+
+
+def plain_scores(rows, known, features, alpha=1.0, penalty=1.0):
+    """The module's docstring by loops and dense algebra: scores by id."""
+    def grams(text):
+        t = "".join(c.lower() if c.isascii() else c for c in text or "")
+        out = {}
+        for n in X.GRAMS:
+            for p in range(len(t) - n + 1):
+                h = 0
+                for k, c in enumerate(t[p:p + n]):
+                    code = (ord(c) + 1) * int(X._SPREAD) % 2**64
+                    h = code if k == 0 else (h * int(X._BASE) + code) % 2**64
+                f = (h * int(X._SPREAD) % 2**64) >> (64 - X.BITS)
+                out[f] = out.get(f, 0) + 1
+        return out
+
+    held = {i: grams(t) for i, t in rows}
+    y = np.array([known[i] for i in sorted(known)], float)
+    toxic, other = y.sum(), len(y) - y.sum()
+    seen = {}
+    for i in sorted(known):
+        for f in held[i]:
+            seen.setdefault(f, [0, 0])[known[i]] += 1
+    chi = lambda f: (seen[f][1] * other - seen[f][0] * toxic) ** 2 / (sum(seen[f]) * (toxic + other - sum(seen[f]) + 1))
+    kept = sorted((f for f in seen if sum(seen[f]) >= 3), key=lambda f: (-chi(f), f))[:features]
+    ratio = np.array([np.log((seen[f][1] + alpha) / (toxic + 2 * alpha)) - np.log((seen[f][0] + alpha) / (other + 2 * alpha)) for f in kept])
+    values = lambda i: np.array([r * np.log2(1 + held[i].get(f, 0)) for f, r in zip(kept, ratio)])
+    design = np.hstack([np.stack([values(i) for i in sorted(known)]), np.ones((len(y), 1))])
+    w = np.zeros(design.shape[1])
+    ridge = np.diag([penalty] * len(kept) + [0.0])
+    for _ in range(200):                         # damped Newton to the optimum
+        p = 1 / (1 + np.exp(-design @ w))
+        step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + ridge + 1e-9 * np.eye(len(w)), design.T @ (y - p) - ridge @ w)
+        w += step / max(1, np.abs(step).max())
+    return {i: float(1 / (1 + np.exp(-(values(i) @ w[:-1] + w[-1])))) for i, _ in rows}
+
+
+def test_scores_equal_a_plain_version(spark):
+    """Selection, ratios, regression and scores, end to end."""
+    docs, labels = make(spark, 160, 12)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(900, None), (901, ""), (902, "ÄB plonker")]
+    known = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id % 5}
+    all_docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    model = X.fit(all_docs, labels, use=F.col("doc_id") % 5 != 0, features=60)
+    got = {r["id"]: r["score"] for r in X.score(all_docs, model).collect()}
+    expected = plain_scores(rows, known, 60)
+    assert set(got) == set(expected)
+    assert max(abs(got[i] - expected[i]) for i in got) < 5e-3
+    assert [i for i in got if got[i] >= 0.5] and all((got[i] >= 0.5) == (expected[i] >= 0.5) for i in got)
+
+
+def test_entries_are_bounded(spark):
+    """With room for few entries the regression learns from whole texts, fewer of them."""
+    docs, labels = make(spark, 300, 5)
+    whole, some = X.fit(docs, labels), X.fit(docs, labels, max_entries=20_000)
+    assert np.array_equal(whole.features, some.features) and not np.allclose(whole.effect, some.effect)
+    again = X.fit(docs.repartition(7), labels, max_entries=20_000)
+    assert np.array_equal(some.effect, again.effect)
