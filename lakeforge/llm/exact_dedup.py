@@ -10,8 +10,10 @@ gets a SHA-256 digest; the rest works on digests only:
 2. The candidates are counted exactly (partial aggregation, one row per
    candidate and task crosses the network). Those that really are frequent
    are the winners; they are broadcast, at most ``share`` rows.
-3. Rows of a winner's digest are settled map-side. All other digests are on
-   at most rows / ``share`` rows each and go through an ordinary shuffle.
+3. Rows of a winner's digest are settled map-side. All other digests go
+   through ordinary shuffles: an aggregate finds those on several rows, whose
+   winner and number are joined back. No group of rows has to meet in a task:
+   the aggregate combines map-side, and the join's partitions may be split.
 
 Defined results: a null text counts as the empty text. The row with the
 largest id stays; a null id counts as the smallest. Of rows that repeat both
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,10 +93,11 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shar
     table = save(digests(docs, id_col, text_col).withColumn("row_no", F.monotonically_increasing_id()), "digests")
     heavy = save(heavy_hitters(table, share), "heavy")
     marked = table.join(F.broadcast(heavy), "digest", "left")
-    w = Window.partitionBy("digest")
-    light = (marked.where(F.col("keep").isNull())
-             .withColumn("keep", F.max(F.struct("id", "row_no")).over(w))
-             .withColumn("group_size", F.count(F.lit(1)).over(w)))
+    light = marked.where(F.col("keep").isNull()).select("id", "row_no", "digest")
+    groups = light.groupBy("digest").agg(F.max(F.struct("id", "row_no")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    repeated = save(groups.where(F.col("group_size") > 1), "repeated")
+    light = light.join(repeated, "digest", "left").withColumns(
+        {"keep": F.coalesce("keep", F.struct("id", "row_no")), "group_size": F.coalesce("group_size", F.lit(1).cast("bigint"))})
     return Decisions(marked.where(F.col("keep").isNotNull()).unionByName(light), heavy)
 
 
