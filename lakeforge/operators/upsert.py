@@ -5,15 +5,21 @@ from the same plan, and snapshot / partition-scoped writes.
 Conditions and assignments are SQL text or Columns over two structs,
 ``t`` (target row) and ``s`` (source row), e.g. ``"t.c_acctbal <> s.c_acctbal"``.
 
-Plan choice. A change batch is usually small next to the target. The
-source's size is measured first (a job over the source only): up to
-``broadcast_bytes`` the source is broadcast into a left join from the
-target, so the target is scanned but never shuffled; inserts come from a
-second broadcast anti join against the matched keys, whose scan of the
-target reads the key columns alone. Beyond the bound the plan is one full
-outer join on the keys, a shuffle of both sides. Source keys are unique, so
-only a target key can be skewed there; adaptive execution does not split
+Plan choice. A change batch is usually small next to the target. A source of
+up to ``broadcast_bytes`` is broadcast into a left join from the target, so
+the target's rows are scanned once and never shuffled; inserts come from a
+broadcast anti join against the distinct matched keys, for which the target's
+key columns alone are read again. Beyond the bound the plan is one full outer
+join on the keys, a shuffle of both sides. Source keys that match are unique,
+so only a target key can be skewed there; adaptive execution does not split
 full outer joins, so for such a target merge by a finer key or in buckets.
+
+``plan()`` runs jobs over the source alone, as long as its keys differ: one
+that looks for repeated keys, and, only where the plan's size statistics are
+near the bound or above, one that adds up its bytes. As in MERGE, repeated
+source keys are refused only if they match a target row, which is looked up
+then; those that match nothing are all inserted, and so are rows with a NULL
+key, which never match.
 """
 
 from __future__ import annotations
@@ -22,8 +28,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeforge.session import remove
+from lakeforge.session import exists, remove
 
 ACTION = "_action"
 #: Text bytes of a source that may be broadcast.
@@ -38,22 +45,39 @@ def _expr(e: str | Column) -> Column:
     return F.expr(e) if isinstance(e, str) else e
 
 
-def source_profile(source: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(bytes as JSON text, largest number of rows sharing one key) in one aggregate job."""
-    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in source.columns])))
-    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_b"))
-    row = per_key.agg(F.sum("_b").alias("bytes"), F.max("_n").alias("worst")).first()
-    return int(row["bytes"] or 0), int(row["worst"] or 0)
+def _present(keys: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).isNotNull()
+    return out
+
+
+def check_matching_keys_unique(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when several source rows match one target row (the merge would
+    be ambiguous); de-duplicate first with ``relational.dedup_latest``."""
+    repeated = source.where(_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    if repeated.limit(1).count():
+        worst = target.select(*keys).join(repeated, list(keys)).agg(F.max("_n")).first()[0]
+        if worst:
+            raise DuplicateSourceKeys(f"{worst} source rows match one target row")
 
 
-def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> int:
-    """Raise when a key occurs twice in the source (the merge would be
-    ambiguous); de-duplicate first with ``relational.dedup_latest``.
-    Returns the source's size in bytes."""
-    size, worst = source_profile(source, keys)
-    if worst > 1:
-        raise DuplicateSourceKeys(f"source has duplicate keys ({worst} rows share one key)")
-    return size
+#: A stored byte can be several in memory: sizes by statistics are trusted this far below the bound.
+_EXPANDS = 16
+
+
+def fits_broadcast(source: DataFrame, limit: int) -> bool:
+    """Whether the source has at most ``limit`` bytes: by the optimizer's
+    statistics if they are far below, else by counting the bytes of its text."""
+    if limit < 0:
+        return False
+    known = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known * _EXPANDS <= limit:
+        return True
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType))
+                 else F.lit(16) if isinstance(f.dataType, T.AtomicType)
+                 else F.coalesce(F.octet_length(F.to_json(F.struct(f"`{f.name}`"))), F.lit(0)) for f in source.schema.fields), F.lit(16))
+    return int(source.agg(F.sum(width)).first()[0] or 0) <= limit
 
 
 class Merge:
@@ -101,24 +125,26 @@ class Merge:
             cols += [c for c in self.source.columns if c not in cols]
         return cols
 
-    def _joined(self, source_bytes: int) -> DataFrame:
+    def _joined(self) -> DataFrame:
         keys = self.keys
         t = self.target.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                                F.struct(*[F.col(c) for c in self.target.columns]).alias("t"))
         s = self.source.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                                F.struct(*[F.col(c) for c in self.source.columns]).alias("s"))
         kcols = [f"_k_{k}" for k in keys]
-        if source_bytes > self.broadcast_bytes:
+        if not fits_broadcast(self.source, self.broadcast_bytes):
             return t.join(s, kcols, "full")
         left = t.join(F.broadcast(s), kcols, "left")
-        matched_keys = left.filter(F.col("s").isNotNull()).select(*kcols)
+        # no more than the source's keys, however often the target has them
+        matched_keys = t.select(*kcols).join(F.broadcast(s.select(*kcols)), kcols, "left_semi").distinct()
         inserts = s.join(F.broadcast(matched_keys), kcols, "left_anti").withColumn(
             "t", F.lit(None).cast(t.schema["t"].dataType))
         return left.unionByName(inserts)
 
     def plan(self) -> DataFrame:
-        """All output rows, labelled; nothing runs until an action."""
-        j = self._joined(check_unique_keys(self.source, self.keys))
+        """All output rows, labelled; the source is looked at first (see the module text)."""
+        check_matching_keys_unique(self.target, self.source, self.keys)
+        j = self._joined()
         t_in, s_in = F.col("t").isNotNull(), F.col("s").isNotNull()
         matched = t_in & s_in
         upd = self.update_set is not None
@@ -208,9 +234,15 @@ def upsert_partitioned(spark, target_path: str, staging_path: str, source: DataF
     the source lacks concerns every bucket, so all are read then. Returns
     the merge metrics.
 
-    The last step is not atomic: after a failure in it, overwrite the
-    target's buckets from ``staging_path`` again.
+    Publishing the staged buckets is not atomic, so it can be repeated: a
+    call that finds ``staging_path`` complete but not marked as published
+    publishes it again as it is, without reading the target, which may lack
+    the buckets it was replacing. Use one staging folder for each merge.
     """
+    if exists(spark, f"{staging_path}{STATS}/_SUCCESS"):
+        if not exists(spark, f"{staging_path}{PUBLISHED}/_SUCCESS"):
+            _publish(spark, target_path, staging_path)
+        return {k: v for k, v in spark.read.json(f"{staging_path}{STATS}").first().asDict().items() if k != "touched"}
     src = source.withColumn("_bucket", bucket(keys, buckets))
     if merge_args.get("delete_not_matched"):
         touched = list(range(buckets))
@@ -219,11 +251,25 @@ def upsert_partitioned(spark, target_path: str, staging_path: str, source: DataF
     target = spark.read.parquet(target_path).filter(F.col("_bucket").isin(touched))
     planned = upsert(target, src, keys, **merge_args)
     obs = Observation("bucket_merge")
-    apply(planned.observe(obs, *metric_columns())).write.mode("overwrite").parquet(staging_path)
+    merged = apply(planned.observe(obs, *metric_columns()))
+    merged.write.mode("overwrite").parquet(staging_path)
     stats = obs.get
-    staged = spark.read.schema(target.schema).parquet(staging_path)
-    filled = {r[0] for r in staged.select("_bucket").distinct().collect()}
+    # written last: from here on the merge is decided and only has to be published
+    (spark.createDataFrame([(*stats.values(), touched)], ", ".join(f"{k} bigint" for k in stats) + ", touched array<int>")
+     .write.mode("overwrite").json(f"{staging_path}{STATS}"))
+    _publish(spark, target_path, staging_path)
+    return stats
+
+
+STATS, PUBLISHED = "_stats", "_published"
+
+
+def _publish(spark, target_path: str, staging_path: str) -> None:
+    """Replace the staged buckets and remove those that the merge emptied."""
+    staged = spark.read.parquet(staging_path)
+    touched = set(spark.read.json(f"{staging_path}{STATS}").first()["touched"])
+    filled = {r[0] for r in staged.select("_bucket").distinct().collect()}         # at most ``buckets`` values
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(target_path)
-    for emptied in set(touched) - filled:
+    for emptied in touched - filled:
         remove(spark, f"{target_path}/_bucket={emptied}")
-    return stats
+    spark.createDataFrame([(1,)], "done int").write.mode("overwrite").json(f"{staging_path}{PUBLISHED}")

@@ -137,3 +137,64 @@ def test_partitioned_upsert_touches_only_source_buckets(spark, sf):
         b = int(d.split("=")[1])
         if b not in touched:
             assert os.path.getmtime(os.path.join(target, d)) == t
+
+
+T_DDL, S_DDL = "k INT, v STRING", "k INT, v STRING"
+
+
+def _merged(spark, target, source, broadcast_bytes=U.BROADCAST_BYTES):
+    m = U.Merge(spark.createDataFrame(target, T_DDL), spark.createDataFrame(source, S_DDL), ["k"], broadcast_bytes)
+    planned = m.when_matched_update(None, {"v": "s.v"}).when_not_matched_insert({"k": "s.k", "v": "s.v"}).plan()
+    return sorted(((r.k, r.v, r._action) for r in planned.collect()), key=str)
+
+
+@pytest.mark.parametrize("bound", [U.BROADCAST_BYTES, -1])
+def test_repeated_and_null_source_keys_that_match_nothing_are_inserted(spark, bound):
+    target = [(1, "a"), (2, "b"), (2, "b2"), (None, "n")]
+    source = [(1, "A"), (2, "B"), (7, "x"), (7, "y"), (None, "p"), (None, "q")]
+    assert _merged(spark, target, source, bound) == sorted([
+        (1, "A", "update"), (2, "B", "update"), (2, "B", "update"), (None, "n", "keep"),
+        (7, "x", "insert"), (7, "y", "insert"), (None, "p", "insert"), (None, "q", "insert")], key=str)
+
+
+def test_repeated_source_keys_that_match_are_refused(spark):
+    with pytest.raises(U.DuplicateSourceKeys, match="2 source rows"):
+        _merged(spark, [(1, "a"), (3, "c")], [(1, "A"), (1, "B"), (9, "x")])
+
+
+def test_plan_looks_at_the_target_only_for_repeated_keys(spark, tmp_path):
+    """With different keys no job reads the target; its rows are in one scan of the plan, its keys in another."""
+    from lakeforge.plans.inspect import explain_text
+    spark.createDataFrame([(i, str(i)) for i in range(50)], T_DDL).write.parquet(f"{tmp_path}/t")
+    m = U.Merge(spark.read.parquet(f"{tmp_path}/t"), spark.createDataFrame([(1, "A"), (99, "B")], S_DDL), ["k"])
+    text = explain_text(m.when_matched_update(None, {"v": "s.v"}).when_not_matched_insert({"k": "s.k", "v": "s.v"}).plan())
+    reads = [line for line in text.splitlines() if "ReadSchema" in line]
+    assert sum("v:string" in line for line in reads) == 1 and len(reads) == 2
+    for k in ("SortMergeJoin", "CartesianProduct"):
+        assert k not in text
+
+
+def test_broadcast_by_statistics_or_by_count(spark):
+    small = spark.createDataFrame([(i, "x" * 100) for i in range(1000)], S_DDL)
+    assert U.fits_broadcast(small, 64 << 20) and U.fits_broadcast(small, 200_000)
+    assert not U.fits_broadcast(small, 100_000) and not U.fits_broadcast(small, -1)
+
+
+def test_bucket_publish_is_repeated_after_a_failure(spark, tmp_path, monkeypatch):
+    """The overwrite fails after it has removed a bucket: the same call again ends as if nothing had happened."""
+    from lakeforge.session import remove
+    target, stage = f"{tmp_path}/dim", f"{tmp_path}/stage"
+    spark.createDataFrame([(i, f"a{i}") for i in range(40)], T_DDL).withColumn("_bucket", U.bucket(["k"], 4)).write.partitionBy("_bucket").parquet(target)
+    source = spark.createDataFrame([(1, "new"), (77, "in")], S_DDL)
+    merge = lambda: U.upsert_partitioned(spark, target, stage, source, ["k"], 4, update_set={"v": "s.v"})
+    with monkeypatch.context() as m:
+        m.setattr(U, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            merge()
+    hit = source.select(U.bucket(["k"], 4).alias("b")).first()["b"]
+    remove(spark, f"{target}/_bucket={hit}")
+    expected = {**{i: f"a{i}" for i in range(40)}, 1: "new", 77: "in"}
+    for _ in range(2):
+        stats = merge()
+        assert (stats["num_updated_rows"], stats["num_inserted_rows"]) == (1, 1)
+        assert {r.k: r.v for r in spark.read.parquet(target).collect()} == expected
