@@ -61,7 +61,7 @@ def test_registered():
     import __spark_entry__ as E
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLES) <= set(E.oracle_sql()) and "pipeline" not in E.oracle_sql()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert list(inspect.signature(C.STAGES[0][1]).parameters) == ["spark", "docs", "sf_dir"]
 
 
