@@ -6,6 +6,10 @@ one in ``ACCURACY`` of the rows. Exact distinct counts take one more scan: the
 rows are turned to (column, value) pairs, equal pairs are merged map-side
 and in the shuffle, and the pairs of each column counted. Several
 ``count_distinct`` in one aggregate would send every row once per column.
+
+Percentiles and the distance of distributions come from KLL quantile sketches,
+one of each column and part, all from one scan. Sketches of parts are merged
+without their rows, so a table's profile follows from its days' profiles.
 """
 
 from __future__ import annotations
@@ -57,3 +61,41 @@ def drift(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
              for n, df in (("a", a), ("b", b))]
     null_share = lambda n: F.col(f"nulls_{n}") / F.nullif(F.col(f"rows_{n}"), F.lit(0))
     return sides[0].join(sides[1], "column").withColumns({"mean_change": F.col("mean_b") - F.col("mean_a"), "null_share_change": null_share("b") - null_share("a")})
+
+
+#: Size of the sketches: ranks are right to within about 1.33 % of the values at 200, and better in inverse proportion.
+SKETCH_K = 1000
+#: Rank error of a sketch of that size, with room to spare.
+SKETCH_ERROR = 0.005
+PERCENTILES = tuple(i / 100 for i in range(1, 100))
+
+
+def quantile_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """``(by..., column, values, sketch)``: one sketch of each column and part, NULLs left out."""
+    found = df.groupBy(*by).agg(*[F.kll_sketch_agg_double(F.col(c).cast("double"), k).alias(f"_s{i}") for i, c in enumerate(columns)],
+                                *[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("values"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(columns)]))
+    return found.select(*by, each.alias("p")).select(*by, "p.*")
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """Sketches of parts as those of the whole, or of coarser parts ``by``."""
+    return sketches.groupBy(*by, "column").agg(F.sum("values").alias("values"), F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def percentiles(sketches: DataFrame, at: Sequence[float] = PERCENTILES) -> DataFrame:
+    """``percentiles`` beside each sketch: the values at the shares ``at``; NULL where a column has none."""
+    points = F.when(F.col("values") > 0, F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(float(p)) for p in at])))
+    return sketches.withColumn("percentiles", points)
+
+
+def distribution_drift(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, distance)``: the greatest difference between the shares of
+    values up to a point in two frames (Kolmogorov-Smirnov). Shares are read
+    off the percentiles of both, so the distance is right to within 0.02 and
+    the two rank errors. One scan of each frame; NULL where a side has no value."""
+    sides = [percentiles(quantile_sketches(df, columns)).select("column", F.col("percentiles").alias(f"points_{n}")) for n, df in (("a", a), ("b", b))]
+    both = sides[0].join(sides[1], "column").withColumn("at", F.array_distinct(F.concat("points_a", "points_b")))
+    upto = lambda side, x: F.size(F.filter(side, lambda p: p <= x)) / F.lit(float(len(PERCENTILES)))
+    gaps = F.transform("at", lambda x: F.abs(upto(F.col("points_a"), x) - upto(F.col("points_b"), x)))
+    return both.select("column", F.when(F.col("at").isNotNull(), F.array_max(gaps)).alias("distance"))

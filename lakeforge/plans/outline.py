@@ -256,6 +256,47 @@ def ex_17c(spark, sf_dir):
     return ranked.select("column", "values", fine.alias("within_rank_error"))
 
 
+def _ranks_hold(li, sketches):
+    """For each column, whether every percentile's rank, counted on the table, is within the sketch's error."""
+    points = P.percentiles(sketches).select("column", F.posexplode("percentiles").alias("i", "at"))       # 99 rows a column
+    pairs = li.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in PROFILE_COLS])).alias("p")).select("p.*")
+    counted = pairs.join(F.broadcast(points), "column").groupBy("column", "i").agg(
+        F.count("v").alias("values"), F.count_if(F.col("v") < F.col("at")).alias("below"), F.count_if(F.col("v") <= F.col("at")).alias("upto"))
+    share, slack = (F.col("i") + 1) / 100, F.col("values") * P.SKETCH_ERROR + 1
+    fine = (F.col("below") <= share * F.col("values") + slack) & (F.col("upto") >= share * F.col("values") - slack)
+    return counted.groupBy("column").agg(F.max("values").alias("values"), F.count(F.lit(1)).alias("percentiles"), F.bool_and(fine).alias("within_rank_error"))
+
+
+_RANKS_SQL = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS \"values\", CAST(99 AS BIGINT) AS percentiles, TRUE AS within_rank_error FROM lineitem" for c in PROFILE_COLS)
+
+
+@query("ex_17_percentiles", oracle=_RANKS_SQL)
+def ex_17_percentiles(spark, sf_dir):
+    """The ranks of the 1st to 99th percentiles of one sketch a column."""
+    li = raw(spark, sf_dir, "lineitem")
+    return _ranks_hold(li, P.quantile_sketches(li, PROFILE_COLS))
+
+
+@query("ex_17_percentiles_of_merged_months", oracle=_RANKS_SQL)
+def ex_17_merged(spark, sf_dir):
+    """The same from sketches of each month, merged."""
+    li = raw(spark, sf_dir, "lineitem")
+    months = P.quantile_sketches(li.withColumn("month", F.date_trunc("month", "l_shipdate")), PROFILE_COLS, by=["month"])
+    return _ranks_hold(li, P.merge_sketches(months))
+
+
+@query("ex_17_distribution_drift", oracle=" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", round(max(abs(fa - fb)), 1) AS distance FROM (
+  SELECT v, sum(a) OVER w / sum(a) OVER () AS fa, sum(b) OVER w / sum(b) OVER () AS fb FROM (
+    SELECT {c} AS v, CAST(count(*) FILTER (WHERE l_quantity < 20) AS DOUBLE) AS a, CAST(count(*) FILTER (WHERE l_quantity >= 20) AS DOUBLE) AS b FROM lineitem GROUP BY {c})
+  WINDOW w AS (ORDER BY v))""" for c in ("l_quantity", "l_discount", "l_tax")))
+def ex_17_distance(spark, sf_dir):
+    """Lines of few and of many pieces: quantities lie apart, the others alike; to one decimal."""
+    li = raw(spark, sf_dir, "lineitem")
+    found = P.distribution_drift(li.where("l_quantity < 20"), li.where("l_quantity >= 20"), ["l_quantity", "l_discount", "l_tax"])
+    return found.withColumn("distance", F.round("distance", 1))
+
+
 _PART = "FILTER (WHERE l_shipdate {} TIMESTAMP '1998-01-01')"
 
 

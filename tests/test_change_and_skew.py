@@ -1,6 +1,8 @@
 """Property tests: salted = plain, SCD2 upsert and change-feed semantics,
 erase cascade, and the skew-safe window keeping one data shuffle."""
 
+import bisect
+
 from pyspark.sql import functions as F
 
 from lakeforge.operators import scd as S
@@ -8,6 +10,7 @@ from lakeforge.operators import security as SEC
 from lakeforge.operators import skew as SK
 from lakeforge.operators import windows as WIN
 from lakeforge.plans.inspect import explain_text
+from lakeforge.session import scratch_root
 
 
 def _same(a, b):
@@ -78,3 +81,28 @@ def test_skew_safe_window_shuffles_data_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     _same(out.select("k", "o", "v", "r"), WIN.plain_window(df, ["k"], ["o"], {"r": ("running_sum", "v")}))
+
+
+def test_percentiles_of_sketches(spark):
+    """Ranks of all percentiles within the bound, from one sketch and from
+    merged parts; a column of NULLs has none; one scan for all columns."""
+    from lakeforge.operators import profile as P
+    df = spark.range(50_000).select((F.pow(F.col("id") % 1013, 2) + F.col("id") % 7).alias("x"), F.lit(None).cast("double").alias("none"), (F.col("id") % 9).alias("part"))
+    values = sorted(r.x for r in df.select("x").collect())
+    for sketches in (P.quantile_sketches(df, ["x", "none"]), P.merge_sketches(P.quantile_sketches(df, ["x", "none"], by=["part"]))):
+        got = {r["column"]: r for r in P.percentiles(sketches).collect()}
+        assert got["none"]["percentiles"] is None and got["none"]["values"] == 0 and got["x"]["values"] == 50_000
+        for share, v in zip(P.PERCENTILES, got["x"]["percentiles"]):
+            slack = P.SKETCH_ERROR * len(values)
+            assert bisect.bisect_left(values, v) - slack <= share * len(values) <= bisect.bisect_right(values, v) + slack
+    path = scratch_root(spark, "sketch_scan")
+    df.write.parquet(path)
+    assert explain_text(P.quantile_sketches(spark.read.parquet(path), ["x", "none", "part"]), "simple").count("FileScan") == 1
+
+
+def test_distribution_drift(spark):
+    from lakeforge.operators import profile as P
+    a = spark.range(10_000).select(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"), F.lit(None).cast("double").alias("z"))
+    b = a.select((F.col("x") + 2500).alias("x"), "y", "z")
+    got = {r["column"]: r["distance"] for r in P.distribution_drift(a, b, ["x", "y", "z"]).collect()}
+    assert abs(got["x"] - 0.25) < 0.03 and got["y"] == 0 and got["z"] is None
