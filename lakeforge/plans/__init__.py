@@ -5,7 +5,7 @@ import importlib
 
 from lakeforge.plans.registry import REGISTRY, Query, query
 
-SECTIONS = ("projection", "scalars", "nested", "nulls", "joins", "temporal", "aggregates", "windows", "io", "upserts", "quality", "layout", "streams", "outline", "stateful", "extras")
+SECTIONS = ("projection", "scalars", "nested", "nulls", "joins", "temporal", "aggregates", "windows", "io", "upserts", "quality", "layout", "physical", "streams", "outline", "stateful", "extras")
 
 
 def load_all() -> dict[str, Query]:
