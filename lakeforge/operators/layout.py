@@ -6,11 +6,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.session import file_size
+from lakeforge.session import sizes_in
+from lakeforge.sources.files import detached
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:
@@ -49,8 +51,11 @@ TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Total size of the files behind ``df``, from their listing; no data is read."""
-    return sum(file_size(df.sparkSession, path) for path in df.inputFiles())
+    """Total size of the files behind ``df``, by one listing of each folder; no
+    data is read."""
+    spark, files = df.sparkSession, {unquote(f) for f in df.inputFiles()}
+    folders = {f.rpartition("/")[0] for f in files}
+    return sum(size for folder in folders for name, size in sizes_in(spark, folder).items() if f"{folder}/{name}" in files)
 
 
 def compact(df: DataFrame, path: str, target_files: int | None = None,
@@ -86,7 +91,4 @@ def bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     name = f"bucketed_{uuid.uuid4().hex}"
     df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
-    out = spark.table(name)
-    out.schema                       # resolved while the entry exists
-    spark.sql(f"DROP TABLE {name}")
-    return out
+    return detached(spark, name)

@@ -79,8 +79,8 @@ def run(spark: SparkSession, landing: str, root: str | None = None) -> dict:
     """Run the flow once over everything in ``landing``; returns frames and
     the silver customer rule counts."""
     lay = Layout(landing, root or scratch_root(spark, "medallion"))
-    cust_schema = FS.infer_schema(spark, f"{landing}/customer_csv", "csv")
-    nat_schema = FS.infer_schema(spark, f"{landing}/nation_json", "json")
+    cust_schema = FS.kept_schema(spark, f"{landing}/customer_csv", "csv", lay.path("_ckpt/bronze_customer"))
+    nat_schema = FS.kept_schema(spark, f"{landing}/nation_json", "json", lay.path("_ckpt/bronze_nation"))
 
     bronze_c = INC.file_stream(spark, f"{landing}/customer_csv", "csv", cust_schema, with_source_file=True)
     INC.run_available_now(bronze_c, lay.path("bronze_customer"), lay.path("_ckpt/bronze_customer"),

@@ -287,12 +287,16 @@ def range_running_sum(df: DataFrame, keys: Sequence[str], order: str, value: str
     return join_null_safe(df, upto, [*keys, order], "left")
 
 
-def ranks_by_counting(df: DataFrame, keys: Sequence[str], by: str, tiebreak: str, block: Column) -> DataFrame:
+def ranks_by_counting(df: DataFrame, keys: Sequence[str], by: str, tiebreak: str, block: Column, materialize: bool = False) -> DataFrame:
     """row_number, rank and dense_rank per key, by ``by`` descending.
 
     rank and dense_rank follow from the number of rows per (key, value), a
     partial aggregate; row_number adds the place among the ties by
-    ``tiebreak``, whose rows are cut into ``block`` segments (monotone in it)."""
+    ``tiebreak``, whose rows are cut into ``block`` segments (monotone in it).
+    ``df`` is read three times: ``materialize`` writes a derived one once to
+    the shared checkpoint folder first."""
+    if materialize:
+        df = df.checkpoint(eager=True)
     ties = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy(F.col(by).desc())
     ties = ties.select(*keys, by, (F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1).cast("int").alias("rank"),

@@ -47,7 +47,7 @@ def snk_02(spark, sf_dir):
     FS.save_table(df, name, "append", path=loc)
     FS.save_table(df, name, "ignore", path=loc)
     refused(lambda: FS.save_table(df, name, "error", path=loc), "TABLE_OR_VIEW_ALREADY_EXISTS")
-    return spark.table(name)
+    return FS.detached(spark, name)
 
 
 @query("snk_03_overwrite_replaces_schema", oracle="SELECT c_custkey, c_mktsegment FROM customer")
@@ -56,7 +56,7 @@ def snk_03(spark, sf_dir):
     c = raw(spark, sf_dir, "customer")
     FS.save_table(c.select("c_custkey", "c_name"), name, "overwrite", path=loc)
     FS.save_table(c.select("c_custkey", "c_mktsegment"), name, "overwrite", path=loc)
-    return spark.table(name)
+    return FS.detached(spark, name)
 
 
 @query("snk_04_schema_enforcement", oracle="SELECT c_custkey, c_name FROM customer")
@@ -70,7 +70,7 @@ def snk_04(spark, sf_dir):
     refused(lambda: append(c.select("c_custkey", "c_name", "c_nationkey")), "_COLUMN_COUNT", "INSERT_COLUMN_ARITY_MISMATCH", "_LEGACY_ERROR_TEMP")
     refused(lambda: append(c.select("c_custkey")), "_COLUMN_COUNT", "INSERT_COLUMN_ARITY_MISMATCH", "_LEGACY_ERROR_TEMP")
     refused(lambda: append(c.select(F.concat(F.lit("x"), F.col("c_custkey")).alias("c_custkey"), "c_name")), "CAST_INVALID_INPUT", "INCOMPATIBLE_DATA_FOR_TABLE")
-    return spark.table(name)
+    return FS.detached(spark, name)
 
 
 @query("snk_06_create_or_replace_idempotent", oracle=with_typed(
@@ -82,7 +82,7 @@ def snk_06(spark, sf_dir):
     for _ in range(2):                                     # run twice: same rows
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         FS.save_table(df, name, "overwrite", path=loc)
-    return spark.table(name)
+    return FS.detached(spark, name)
 
 
 def _customer_files(spark, sf_dir, parts=4):
@@ -131,13 +131,13 @@ def sm_07(spark, sf_dir):
 def ex_10(spark, sf_dir):
     landing = scratch_root(spark, "lf_ex10_landing")
     FS.write_csv(raw(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment").repartition(3), landing)
-    schema = FS.infer_schema(spark, landing, "csv")
     name, loc = _table(spark, "lf_ex10_table")
-    stream = INC.file_stream(spark, landing, "csv", schema)
-    q = (stream.writeStream.format("parquet").option("checkpointLocation", scratch_root(spark, "lf_ex10_ckpt"))
+    ckpt = scratch_root(spark, "lf_ex10_ckpt")
+    stream = INC.file_stream(spark, landing, "csv", FS.kept_schema(spark, landing, "csv", ckpt))
+    q = (stream.writeStream.format("parquet").option("checkpointLocation", ckpt)
          .option("path", loc).trigger(availableNow=True).toTable(name))
     q.awaitTermination()
-    return spark.table(name).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+    return FS.detached(spark, name).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
 @query("ex_30_foreach_batch_exactly_once", oracle="SELECT c_custkey, c_name FROM customer")

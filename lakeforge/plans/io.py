@@ -105,8 +105,8 @@ def src_07(spark, sf_dir):
 def src_08(spark, sf_dir):
     landing = scratch_root(spark, "nation_json")
     raw(spark, sf_dir, "nation").write.mode("overwrite").json(landing)
-    schema = FS.infer_schema(spark, landing, "json")          # JSON integers infer as BIGINT
     sink, ckpt = scratch_root(spark, "nation_sink"), scratch_root(spark, "nation_ckpt")
+    schema = FS.kept_schema(spark, landing, "json", ckpt)     # JSON integers infer as BIGINT
     INC.run_available_now(INC.file_stream(spark, landing, "json", schema), sink, ckpt, query_name="src_08")
     return spark.read.parquet(sink)
 
@@ -116,8 +116,8 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, TRUE AS has_sour
 def src_09(spark, sf_dir):
     landing = scratch_root(spark, "customer_landing_csv")
     FS.write_csv(raw(spark, sf_dir, "customer").repartition(4), landing)
-    schema = FS.infer_schema(spark, landing, "csv")
     sink, ckpt = scratch_root(spark, "bronze_sink"), scratch_root(spark, "bronze_ckpt")
+    schema = FS.kept_schema(spark, landing, "csv", ckpt)
     stream = INC.file_stream(spark, landing, "csv", schema, with_source_file=True)
     INC.run_available_now(stream, sink, ckpt, query_name="src_09")
     out = spark.read.parquet(sink)
@@ -156,6 +156,8 @@ def incremental_customer(spark, sf_dir, name: str, via_table: bool):
     runs = [run()]
     INC.append_batch(source, "c_custkey", 500, 1 << 62, src_path)
     runs += [run(), run()]
+    if table:
+        spark.sql(f"DROP TABLE {table}")
     return spark.read.parquet(sink), runs
 
 
@@ -258,7 +260,7 @@ def snk_08(spark, sf_dir):
     q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
          .option("path", sink_path).trigger(availableNow=True).toTable(table))
     q.awaitTermination()
-    return spark.table(table)
+    return FS.detached(spark, table)
 
 
 @query("prj_06_normalize_then_write", oracle=with_typed(

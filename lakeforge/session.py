@@ -95,9 +95,10 @@ def listing(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def file_size(spark: SparkSession, path: str) -> int:
+def sizes_in(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and sizes of the files in a folder, by one listing."""
     fs, p = _hadoop(spark, path)
-    return fs.getFileStatus(p).getLen()
+    return {s.getPath().getName(): s.getLen() for s in fs.listStatus(p) if s.isFile()}
 
 
 def remove(spark: SparkSession, path: str) -> None:

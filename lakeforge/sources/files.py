@@ -7,12 +7,14 @@ All paths are folders on shared storage (see ``session.scratch_root``).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeforge.functions.columns import conform
-from lakeforge.session import listing, remove
+from lakeforge.session import exists, listing
 
 # Typed customer extract: the reference schema minus the columns the test
 # data lacks (address, comment).
@@ -67,6 +69,27 @@ def infer_schema(spark: SparkSession, path: str, fmt: str) -> T.StructType:
     return reader.load(path).schema
 
 
+def kept_schema(spark: SparkSession, path: str, fmt: str, checkpoint: str) -> T.StructType:
+    """The column types of a landing folder for the stream with this
+    ``checkpoint``: inferred by its first run and kept in the checkpoint, so
+    that later runs read only what arrived and all runs see the same types.
+    A value of later files that does not fit them is NULL (PERMISSIVE)."""
+    place = f"{checkpoint}/_schema"
+    if not exists(spark, f"{place}/_SUCCESS"):
+        found = infer_schema(spark, path, fmt)
+        spark.createDataFrame([(found.json(),)], "value string").coalesce(1).write.mode("overwrite").text(place)
+    return T.StructType.fromJson(json.loads(spark.read.text(place).first()[0]))
+
+
+def detached(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of an external table as a frame over its files, and its
+    catalog entry dropped: the frame keeps layout and schema, and no name
+    stays behind in the session."""
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None,
                partition_by: list[str] | None = None) -> None:
     """Write a session-catalog parquet table with a save mode (append,
@@ -107,37 +130,43 @@ def round_trip(df: DataFrame, path: str, fmt: str) -> DataFrame:
     return r.load(path)
 
 
-def copy_into(spark: SparkSession, landing: str, target: str, ledger: str, fmt: str = "parquet") -> int:
+#: Files of one load; a reader takes their paths from the driver.
+FILES_PER_LOAD = 10_000
+
+
+def copy_into(spark: SparkSession, landing: str, target: str, ledger: str, fmt: str = "parquet", files_per_load: int = FILES_PER_LOAD) -> int:
     """Idempotent load: append the files that no earlier load took, and
     return their number. A rerun loads nothing.
 
-    A load is a batch with a number. Its file names go to the ledger first
-    (``batch=<n>``), then its rows to ``target/batch=<n>`` by overwrite, then
-    a mark that it is done. A load that died in between is found without its
-    mark and done again under the same number, so nothing is lost or twice.
-    Only the landing folder's listing is compared, as two distributed tables;
-    files that were loaded before are not opened."""
-    batches = sorted(int(n.partition("=")[2]) for n in listing(spark, f"{ledger}/files") if n.startswith("batch="))
-    done = {int(n.partition("=")[2]) for n in listing(spark, f"{ledger}/done") if n.startswith("batch=")}
-    for batch in batches:
-        if batch not in done:
-            _load_batch(spark, target, ledger, fmt, batch)
+    New files are dealt by a hash of their path to numbered loads of about
+    ``files_per_load``, so the driver never holds more paths than one load's.
+    The names go to the ledger first (``batch=<n>``), then each load's rows to
+    ``target/batch=<n>`` by overwrite, then a mark that it is done. A load that
+    died in between is found without its mark and done again under the same
+    number, so nothing is lost or twice; names that a run could not write yet
+    are new files of the next one. Only the landing folder's listing is
+    compared, as two distributed tables; files that were loaded before are not
+    opened."""
+    names = f"{ledger}/files"
+
+    def numbers(folder: str) -> set[int]:
+        return {int(n.partition("=")[2]) for n in listing(spark, f"{ledger}/{folder}") if n.startswith("batch=")}
+
+    known = numbers("files")
     here = spark.read.format("binaryFile").load(landing).select("path")
-    if batches:
-        here = here.join(spark.read.parquet(f"{ledger}/files").select("path"), "path", "left_anti")
-    batch = batches[-1] + 1 if batches else 0
-    folder = f"{ledger}/files/batch={batch}"
-    here.write.mode("overwrite").parquet(folder)
-    found = spark.read.parquet(folder).count()
-    if not found:
-        remove(spark, folder)
-        return 0
-    _load_batch(spark, target, ledger, fmt, batch)
+    if known:
+        here = here.join(spark.read.parquet(names).select("path"), "path", "left_anti")
+    found = here.count()
+    if found:
+        loads = -(-found // files_per_load)
+        dealt = here.withColumn("batch", F.pmod(F.xxhash64("path"), F.lit(loads)) + F.lit(max(known, default=-1) + 1))
+        dealt.repartition("batch").write.mode("append").partitionBy("batch").parquet(names)
+    for batch in sorted(numbers("files") - numbers("done")):
+        _load_batch(spark, target, ledger, fmt, batch)
     return found
 
 
 def _load_batch(spark: SparkSession, target: str, ledger: str, fmt: str, batch: int) -> None:
-    # the paths of one load; a reader takes its paths from the driver
     paths = [r["path"] for r in spark.read.parquet(f"{ledger}/files/batch={batch}").toLocalIterator()]
     spark.read.format(fmt).load(paths).write.mode("overwrite").parquet(f"{target}/batch={batch}")
     spark.range(1).write.mode("overwrite").parquet(f"{ledger}/done/batch={batch}")

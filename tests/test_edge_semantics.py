@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeforge.functions.nested import nest, unnest
-from lakeforge.operators import skew, upsert, windows
+from lakeforge.operators import layout, skew, upsert, windows
 from lakeforge.plans.inspect import explain_text
 from lakeforge.session import exists, listing, remove, scratch_root
 from lakeforge.sources import files
@@ -137,3 +137,45 @@ def test_numbers_come_in_blocks(spark):
     df = spark.createDataFrame([("a", 1), ("b", 10_000), ("c", N._BLOCK)], "k STRING, n BIGINT")
     got = N._numbers(df, F.col("n"), "i").groupBy("k").agg(F.count("i").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi"), F.count_distinct("i").alias("d")).collect()
     assert {r["k"]: (r["n"], r["lo"], r["hi"], r["d"]) for r in got} == {"a": (1, 0, 0, 1), "b": (10_000, 0, 9999, 10_000), "c": (N._BLOCK, 0, N._BLOCK - 1, N._BLOCK)}
+
+
+def test_many_new_files_are_loaded_in_bounded_groups(spark):
+    landing, target, ledger = (scratch_root(spark, n) for n in ("landing", "target", "ledger"))
+    spark.range(70).repartition(7).write.parquet(landing)
+    assert files.copy_into(spark, landing, target, ledger, files_per_load=2) == 7
+    assert sorted(r.id for r in spark.read.parquet(target).select("id").collect()) == list(range(70))
+    assert len([n for n in listing(spark, target) if n.startswith("batch=")]) > 1
+    assert files.copy_into(spark, landing, target, ledger, files_per_load=2) == 0
+    assert spark.read.parquet(target).count() == 70
+
+
+def test_schema_is_inferred_by_the_first_run_only(spark, monkeypatch):
+    landing, ckpt = scratch_root(spark, "landing_json"), scratch_root(spark, "ckpt_json")
+    spark.createDataFrame([(1, "a")], "k bigint, v string").write.json(landing)
+    first = files.kept_schema(spark, landing, "json", ckpt)
+    monkeypatch.setattr(files, "infer_schema", lambda *_: pytest.fail("inferred again"))
+    spark.createDataFrame([(1.5, "b", 1)], "k double, v string, more int").write.mode("append").json(landing)
+    assert files.kept_schema(spark, landing, "json", ckpt) == first
+    got = spark.read.schema(first).json(landing).collect()
+    assert sorted(map(tuple, got), key=str) == [(1, "a"), (None, "b")]
+
+
+def test_detached_table_outlives_its_catalog_entry(spark):
+    path = scratch_root(spark, "detached")
+    files.save_table(spark.range(5), "for_detached", path=path)
+    df = files.detached(spark, "for_detached")
+    assert not spark.catalog.tableExists("for_detached") and df.count() == 5
+
+
+def test_input_bytes_come_from_the_folders_listing(spark):
+    path = scratch_root(spark, "odd folders")
+    spark.range(50).withColumn("p q", F.concat(F.lit("a b%"), F.col("id") % 3)).repartition(4).write.partitionBy("p q").parquet(path)
+    df = spark.read.parquet(path)
+    sizes = df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0]
+    assert layout.input_bytes(df) == sizes > 0
+
+
+
+def test_ranks_read_a_derived_table_once(spark, sf):
+    from lakeforge.plans import load_all
+    assert "FileScan" not in explain_text(load_all()["wn_05_ranking_functions_on_ties"].run(spark, sf), "simple")
