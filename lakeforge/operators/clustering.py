@@ -63,7 +63,7 @@ def file_ranges(df: DataFrame, columns: Sequence[str], unit: Column | None = Non
 
 def overlap_report(ranges: DataFrame) -> DataFrame:
     """One row per column of ``file_ranges``: ``column_name, files, empty_files``
-    (only NULLs), ``max_depth`` (most files that hold one value between their
+    (only NULLs), ``rows``, ``max_depth`` (most files that hold one value between their
     bounds), ``overlap_pairs`` (pairs of files that share a value) and
     ``mean_overlaps`` (other files that a file overlaps; NULL without files).
 
@@ -72,20 +72,22 @@ def overlap_report(ranges: DataFrame) -> DataFrame:
     row and a table of very many small files is cut over tasks. A file that
     opens at a value overlaps those open before it and those that open with it,
     so pairs are counted without being formed."""
+    ranges = ranges.checkpoint(eager=True)          # one row per file and column; the files are scanned once
     ends = ranges.where(F.col("lo").isNotNull()).select("column_name", F.explode(F.array(
         F.struct(F.col("lo").alias("at"), F.lit(1).alias("opens"), F.lit(0).alias("closes")),
         F.struct(F.col("hi").alias("at"), F.lit(0).alias("opens"), F.lit(1).alias("closes")))).alias("_e"))
     points = ends.groupBy("column_name", F.col("_e.at").alias("at")).agg(
         F.sum("_e.opens").alias("opens"), F.sum("_e.closes").alias("closes"))
     points = points.withColumn("change", F.col("opens") - F.col("closes"))
-    swept = skew_safe_window(points, ["column_name"], ["at"], None, {"after": ("running_sum", "change")}, materialize=True)
+    swept = skew_safe_window(points, ["column_name"], ["at"], None, {"after": ("running_sum", "change")})
     before = F.col("after") - F.col("change")
     found = swept.groupBy("column_name").agg(
         F.max(before + F.col("opens")).alias("max_depth"),
         F.sum(F.col("opens") * before + F.expr("opens * (opens - 1) div 2")).alias("overlap_pairs"))
-    files = ranges.groupBy("column_name").agg(F.count("lo").alias("files"), F.count_if(F.col("lo").isNull()).alias("empty_files"))
+    files = ranges.groupBy("column_name").agg(F.count("lo").alias("files"), F.count_if(F.col("lo").isNull()).alias("empty_files"),
+                                               F.sum("rows").alias("rows"))
     return files.join(found, "column_name", "left").select(
-        "column_name", "files", "empty_files", F.coalesce("max_depth", F.lit(0)).alias("max_depth"),
+        "column_name", "files", "empty_files", "rows", F.coalesce("max_depth", F.lit(0)).alias("max_depth"),
         F.coalesce("overlap_pairs", F.lit(0)).alias("overlap_pairs"),
         F.when(F.col("files") > 0, 2 * F.coalesce("overlap_pairs", F.lit(0)) / F.col("files")).alias("mean_overlaps"))
 

@@ -11,7 +11,7 @@ from lakeforge.operators import clustering as C
 from lakeforge.operators.layout import bucketed, write_clustered
 from lakeforge.plans.registry import query
 from lakeforge.session import scratch_root
-from lakeforge.sources.tables import raw, typed, with_typed
+from lakeforge.sources.tables import raw, typed
 
 # ------------------------------------------------------------------- EX-19
 _FOLDERS = """
@@ -29,6 +29,7 @@ depths AS (SELECT a.column_name, a.unit, count(*) AS depth FROM ranges a JOIN ra
 pairs AS (SELECT a.column_name, count(b.unit) AS n FROM ranges a LEFT JOIN ranges b
   ON a.column_name = b.column_name AND a.unit < b.unit AND a.lo <= b.hi AND b.lo <= a.hi GROUP BY a.column_name)
 SELECT column_name, count(*) AS files, CAST(0 AS BIGINT) AS empty_files, max(depth) AS max_depth, any_value(n) AS overlap_pairs,
+  (SELECT count(*) FROM orders) AS rows,
   CAST(2 * any_value(n) AS DOUBLE) / count(*) AS mean_overlaps
 FROM depths JOIN pairs USING (column_name) GROUP BY column_name""")
 def ex_19_overlap(spark, sf_dir):
@@ -53,12 +54,9 @@ def ex_19_zorder(spark, sf_dir):
     columns, files = ["o_custkey", "o_orderdate"], 16
     o.repartition(files, "o_orderkey").write.parquet(dealt)
     C.write_zordered(o, near, columns, files)
-    ranges = [C.file_ranges(spark.read.parquet(p), columns) for p in (dealt, near)]
-    before, after = (C.overlap_report(r) for r in ranges)
-    rows = ranges[1].groupBy("column_name").agg(F.sum("rows").alias("row_count"))
-    b, a = before.alias("b"), after.alias("a")
-    return rows.join(b, "column_name").join(a, "column_name").select(
-        "column_name", "row_count", (F.col("a.mean_overlaps") < F.col("b.mean_overlaps")).alias("fewer_overlaps"),
+    before, after = (C.overlap_report(C.file_ranges(spark.read.parquet(p), columns)) for p in (dealt, near))
+    return after.alias("a").join(before.alias("b"), "column_name").select(
+        "column_name", F.col("a.rows").alias("row_count"), (F.col("a.mean_overlaps") < F.col("b.mean_overlaps")).alias("fewer_overlaps"),
         (F.col("a.max_depth") < F.col("b.max_depth")).alias("lower_depth"))
 
 
