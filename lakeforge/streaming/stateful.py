@@ -4,9 +4,11 @@ Spark's own session window gives the counts of a session; this operator shows
 the general form, ``transformWithState`` on the RocksDB store. Each key keeps
 its open sessions as a list and how many it has closed as a value. A row joins
 the sessions it lies within ``gap`` of, which may merge two when rows come out
-of order. Each session sets a timer to its end; when the watermark passes it
-the session is given out, numbered, and removed, so the state of a key is its
-open sessions and one number.
+of order. A key has one timer, at the end of its first open session; when the
+watermark passes it, all sessions that have ended by then are given out,
+numbered, and removed, and the timer moves to the next end. So the state of a
+key is its open sessions, one number and one timer, and a batch calls a key at
+most twice, however many sessions it opens and closes.
 """
 
 from __future__ import annotations
@@ -65,26 +67,33 @@ class Sessions(StatefulProcessor):
         """The first millisecond at which the session has ended."""
         return -(-(last + self.gap) // 1000)
 
+    def _first_due(self, sessions: list[tuple[int, int, int]]) -> int | None:
+        """When the key's timer has to be; sessions lie apart in order, so it is the first one's end."""
+        return self._due(sessions[0][1]) if sessions else None
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = [tuple(s) for s in self.open.get()]
+        before = list(self.open.get())
         now = merged(before + [(r["_at"], r["_at"], 1) for r in rows], self.gap)
-        for due in {self._due(s[1]) for s in before} - {self._due(s[1]) for s in now}:
-            self.handle.deleteTimer(due)
-        for due in {self._due(s[1]) for s in now} - {self._due(s[1]) for s in before}:
+        was, due = self._first_due(before), self._first_due(now)
+        if was != due:
+            if was is not None:
+                self.handle.deleteTimer(was)
             self.handle.registerTimer(due)
         self.open.put(now)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        sessions = [tuple(s) for s in self.open.get()]
-        ended = [s for s in sessions if self._due(s[1]) <= due]
-        left = [s for s in sessions if self._due(s[1]) > due]
+        sessions = list(self.open.get())
+        ended = [s for s in sessions if self._due(s[1]) <= timerValues.getCurrentWatermarkInMs()]
+        if not ended:        # a timer that a checkpoint of one timer a session has left
+            return
+        left = sessions[len(ended):]
         if left:
             self.open.put(left)
+            self.handle.registerTimer(self._first_due(left))
         else:
             self.open.clear()
-        n = self.closed.get()[0] if self.closed.exists() else 0
+        n = (self.closed.get() or (0,))[0]
         self.closed.update((n + len(ended),))
         for k, (first, last, events) in enumerate(ended):
             yield Row(**{self.key: key[0], "session_no": n + k + 1, "_first": first, "_end": last + self.gap, "events": events})

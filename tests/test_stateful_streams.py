@@ -72,6 +72,69 @@ def test_sessions_by_timer_over_runs_and_out_of_order(spark):
     assert _sessions(spark, [first, second, third]) == [(1, 1, 0, 230, 5), (1, 2, 520, 580, 1), (2, 1, 10, 70, 1), (2, 2, 500, 560, 1)]
 
 
+class OneKey:
+    """State and timers of one key in memory; ``batch`` does what a batch does."""
+
+    def __init__(self, gap):
+        self.work, self.timers, self.calls, self.out = ST.Sessions("u", timedelta(seconds=gap)), set(), 0, []
+        self.work.init(self)
+
+    def getListState(self, *_):
+        return type("Listed", (), {"rows": [], "get": lambda s: iter(s.rows), "put": lambda s, v: setattr(s, "rows", list(v)), "clear": lambda s: s.put([])})()
+
+    def getValueState(self, *_):
+        return type("Valued", (), {"v": None, "get": lambda s: s.v, "exists": lambda s: s.v is not None, "update": lambda s, v: setattr(s, "v", v)})()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def batch(self, seconds, watermark):
+        values = type("Values", (), {"getCurrentWatermarkInMs": lambda s: watermark * 1000})()
+        list(self.work.handleInputRows((1,), [{"_at": s * 1_000_000} for s in seconds], values))
+        most = len(self.timers)
+        for at in sorted(t for t in self.timers if t <= watermark * 1000):
+            self.calls += 1
+            self.out += self.work.handleExpiredTimer((1,), values, type("Info", (), {"getExpiryTimeInMs": lambda s: at})())
+            self.timers.remove(at)
+        return most
+
+
+def test_a_key_has_one_timer_however_many_sessions():
+    key = OneKey(gap=60)
+    assert key.batch([100 * k for k in range(500)], watermark=100 * 400 + 60) == 1
+    assert key.calls == 1 and len(key.timers) == 1
+    assert [(r["session_no"], r["_first"], r["events"]) for r in key.out] == [(k + 1, 100_000_000 * k, 1) for k in range(401)]
+    key.batch([100 * 500], watermark=10**6)
+    assert key.calls == 2 and len(key.out) == 501 and not key.timers and not key.work.open.rows
+
+
+def test_one_timer_gives_each_session_once_it_has_ended():
+    rng = random.Random(5)
+    for _ in range(100):
+        key, watermark, seen = OneKey(gap=10), 0, []
+        for _ in range(8):
+            rows = [watermark + rng.randrange(120) for _ in range(rng.randrange(1, 12))]
+            seen += rows
+            watermark += rng.randrange(60)
+            assert key.batch(rows, watermark) == 1
+            ended = [s for s in ST.merged([(t, t, 1) for t in seen], 10) if s[1] + 10 <= watermark]
+            assert [(r["session_no"], r["_first"], r["_end"], r["events"]) for r in key.out] == [
+                (k + 1, a * 1_000_000, (z + 10) * 1_000_000, n) for k, (a, z, n) in enumerate(ended)]
+
+
+def test_timers_left_by_a_checkpoint_of_one_a_session_change_nothing():
+    key = OneKey(gap=60)
+    key.batch([0, 100, 200, 900], watermark=0)
+    key.timers |= {160_000, 260_000, 960_000}
+    key.batch([950], watermark=500)
+    assert [(r["session_no"], r["_first"]) for r in key.out] == [(1, 0), (2, 100_000_000), (3, 200_000_000)]
+    key.batch([5000], watermark=1010)
+    assert [(r["session_no"], r["events"]) for r in key.out][3:] == [(4, 2)]
+
+
 def test_store_setting_is_put_back(spark):
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name, None)
