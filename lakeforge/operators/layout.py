@@ -60,11 +60,16 @@ def input_bytes(df: DataFrame) -> int:
 
 def compact(df: DataFrame, path: str, target_files: int | None = None,
             target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Rewrite into fewer, even files (round-robin). Without
-    ``target_files`` the count follows the input size: about one file per
-    ``target_file_bytes``. Returns the file count used."""
+    """Rewrite ``df``, a frame read from files, into fewer, even files.
+    Without ``target_files`` the count follows the input size: about one file
+    per ``target_file_bytes``. Returns the file count used.
+
+    A file is made of whole splits of the scan, so its task reads no more than
+    the input's bytes for it, and nothing is shuffled. Only files smaller than
+    two splits, or made of input that cannot be split, are dealt round-robin."""
     n = target_files or max(1, -(-input_bytes(df) // target_file_bytes))
-    df.repartition(n).write.mode("overwrite").parquet(path)
+    whole = n == 1 or df.rdd.getNumPartitions() >= 2 * n
+    (df.coalesce(n) if whole else df.repartition(n)).write.mode("overwrite").parquet(path)
     return n
 
 

@@ -161,3 +161,18 @@ def test_compaction_sizes_files_from_input_bytes(spark, sf):
     assert compact(df, out) == 1                       # well under one target file
     assert spark.read.parquet(out).count() == df.count()
     assert compact(df, scratch_root(spark, "t_compacted3"), target_file_bytes=max(1, input_bytes(df) // 3)) >= 3
+
+
+def test_compaction_makes_files_of_whole_splits(spark):
+    from lakeforge.operators.layout import compact
+    src, one, two, many = (scratch_root(spark, f"t_splits{k}") for k in range(4))
+    spark.range(2400).select("id", F.when(F.col("id") % 7 > 0, F.col("id")).alias("v")).repartitionByRange(24, "id").write.parquet(src)
+    df = spark.read.parquet(src).select("*", F.col("_metadata.file_name").alias("src"))
+    assert compact(df, one) == 1 and compact(df, two, target_files=2) == 2 and compact(df, many, target_files=30) == 30
+    for path, files in ((one, 1), (two, 2), (many, 30)):
+        got = spark.read.parquet(path)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+        sizes = [r["count"] for r in got.groupBy("_metadata.file_path").count().collect()]
+        assert len(sizes) == files and max(sizes) <= 2 * 2400 / files
+    # no shuffle: the rows of a file come to one file
+    assert spark.read.parquet(two).groupBy("src").agg(F.count_distinct("_metadata.file_path").alias("n")).where("n > 1").count() == 0
