@@ -15,11 +15,14 @@ one segment. Documents are gathered in blocks of about ``block_bytes``:
    each. A bucket answers which hashes other documents have too. Windows
    under other hashes occur nowhere else.
 2. Each block sends the segments of shared hashes to buckets, equal segments
-   once. Under a hash with more than ``hot`` segments (a passage that very
-   many documents have, in ever other surroundings) every window is dealt by
-   its own bytes instead, so that no bucket holds all of them.
+   once. Under a hash with more than ``hot`` segments that differ within
+   their block (a passage that very many documents have, in ever other
+   surroundings) every window is dealt by its own bytes instead, so that no
+   bucket holds all of them.
 3. A bucket collapses equal segments. Segments that share their hash with no
-   other one need no more. Of the rest it cuts shards, sorts each shard's
+   other one need no more. Most of the rest only have a k-gram in common:
+   parts none of whose windows has the hash of another window are left out.
+   Of what is left, some hashes at a time, it cuts shards, sorts each shard's
    rotations to get its Burrows-Wheeler transform, and merges all transforms
    by refining their interleave: starting from the shards one after the
    other, each round sorts the interleave stably by the rows' preceding
@@ -44,6 +47,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,12 +71,12 @@ def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts[i] for i in order), np.uint8), off, np.array([ids[i] for i in order], np.int64)
 
 
-def _runs_of(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _runs_of(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """First window, window after the last, and hash of each run of windows
-    with the same smallest k-gram hash."""
+    with the same smallest k-gram hash; the hash of the run's bytes."""
     n, k = len(data), min(GRAM, length)
     if n < length:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
     sums = prefix_sums(data)
     least = (sums[k:] - sums[:-k]) * _grown(n)[1][:n - k + 1]
     least = (least ^ (least >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
@@ -96,16 +100,16 @@ def _runs_of(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         starts = np.repeat(starts, parts) + nth * LONGEST_RUN
         ends = np.minimum(np.repeat(ends, parts), starts + LONGEST_RUN)
-    return starts, ends, least[starts]
+    return starts, ends, least[starts], range_hashes(sums, starts, ends + length - 1)
 
 
-def _runs(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _runs(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     found = []
     for i, j in steps(off):
-        s, e, h = _runs_of(data[off[i]:off[j]], off[i:j + 1] - off[i], length)
-        found.append((s + off[i], e + off[i], h))
+        s, e, h, c = _runs_of(data[off[i]:off[j]], off[i:j + 1] - off[i], length)
+        found.append((s + off[i], e + off[i], h, c))
     if not found:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -113,9 +117,24 @@ def _dealt(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (_mixed(hashes) % np.uint64(buckets)).astype(np.int64)
 
 
+def _cut_up(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Binary column whose rows are the bytes of ``values`` between neighbouring cuts."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _cuts(parts: list[tuple[int, int, int]]) -> np.ndarray:
+    return np.array([0, *[z for _, _, z in parts]], np.int64)
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its count."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
 def _by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Stable order by bucket, and (bucket, from, to) of each one in it."""
-    order = np.argsort(bucket, kind="stable")
+    few = not len(bucket) or bucket.max() < 1 << 16   # 16-bit numbers are sorted by their digits
+    order = np.argsort(bucket.astype(np.uint16) if few else bucket, kind="stable")
     at = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     return order, [(int(bucket[order[a]]), int(a), int(b)) for a, b in zip(at, [*at[1:], len(order)])]
 
@@ -127,47 +146,54 @@ _TOLD = "block int, bucket int, told binary"
 
 def _different(data, off, length, buckets):
     """Different hashes of a block's runs, dealt to buckets."""
-    starts, ends, h = _runs(data, off, length)
+    starts, ends, h, content = _runs(data, off, length)
     row = np.searchsorted(off, starts, "right") - 1
     different, which = np.unique(h, return_inverse=True)
     order, parts = _by_bucket(_dealt(different, buckets))
-    return starts, ends, row, different, which, order, parts
+    return starts, ends, row, content, different, which, order, parts
+
+
+def _ordered(which: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """The number of a hash before half of the content's hash, to sort segments by."""
+    return (which.astype(np.uint64) << np.uint64(32)) | (content >> np.uint64(32))
 
 
 def _ask(length: int, buckets: int):
     def run(key, table):
         block = key[0].as_py()
         data, off, ids = _gathered(table)
-        _, _, row, different, which, order, parts = _different(data, off, length, buckets)
+        _, _, row, content, different, which, order, parts = _different(data, off, length, buckets)
         doc = ids[row]
         low, high = np.full(len(different), _LAST), np.full(len(different), np.iinfo(np.int64).min)
         np.minimum.at(low, which, doc)
         np.maximum.at(high, which, doc)
-        # up to 127 segments, and whether two documents of this block have the hash
-        seen = (np.minimum(np.bincount(which, minlength=len(different)), 127) + 128 * (low < high)).astype(np.uint8)
+        # up to 127 different segments, and whether two documents of this block have the hash
+        number = np.bincount(which, minlength=len(different))
+        again = number[which] > 1
+        number[number > 1] = 0
+        number += np.bincount((np.unique(_ordered(which[again], content[again])) >> np.uint64(32)).astype(np.int64), minlength=len(different))
+        seen = (np.minimum(number, 127) + 128 * (low < high)).astype(np.uint8)
         six = different.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        cuts = _cuts(parts)
         return pa.table({"bucket": pa.array([b for b, _, _ in parts], pa.int32()), "block": pa.array([block] * len(parts), pa.int32()),
-                         "hashes": pa.array([six[order[a:z]].tobytes() for _, a, z in parts], pa.binary()),
-                         "seen": pa.array([seen[order[a:z]].tobytes() for _, a, z in parts], pa.binary())})
+                         "hashes": _cut_up(six[order].ravel(), 6 * cuts), "seen": _cut_up(seen[order], cuts)})
     return run
 
 
 def _tell(hot: int):
     """For each hash asked about: 0 nobody else has it, 1 others have, 2 very many have."""
     def run(key, table):
-        sizes = np.array([len(x) for x in table.column("seen").to_pylist()], np.int64)
-        six = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint8).reshape(-1, 6)
+        seen, cuts = flat(table.column("seen"))
+        six = flat(table.column("hashes"))[0].reshape(-1, 6)
         eight = np.zeros((len(six), 8), np.uint8)
         eight[:, :6] = six
         _, which = np.unique(eight.view("<u8").ravel(), return_inverse=True)
-        seen = np.frombuffer(b"".join(table.column("seen").to_pylist()), np.uint8).astype(np.int64)
         blocks = np.bincount(which)
         total = np.bincount(which, seen & 127)
         within = np.bincount(which, seen >> 7) > 0
         told = np.where((blocks > 1) | within, np.where(total > hot, 2, 1), 0).astype(np.uint8)[which]
-        ends = np.cumsum(sizes)
         return pa.table({"block": table.column("block"), "bucket": pa.array([key[0].as_py()] * table.num_rows, pa.int32()),
-                         "told": pa.array([told[a:b].tobytes() for a, b in zip(ends - sizes, ends)], pa.binary())})
+                         "told": _cut_up(told, cuts)})
     return run
 
 
@@ -182,52 +208,50 @@ def _send(length: int, buckets: int, segment_buckets: int):
     def run(key, table, answers):
         block = key[0].as_py()
         data, off, ids = _gathered(table)
-        starts, ends, row, different, which, order, parts = _different(data, off, length, buckets)
+        starts, ends, row, content, different, which, order, parts = _different(data, off, length, buckets)
         told = np.zeros(len(different), np.uint8)
         told_by = dict(zip(answers.column("bucket").to_pylist(), answers.column("told").to_pylist()))
         for b, a, z in parts:
             told[order[a:z]] = np.frombuffer(told_by[b], np.uint8)
         state = told[which]
-        out: dict[str, list] = {c: [] for c in names}
-        if state.any():
-            one, many = state == 1, state == 2
-            # under very common hashes every window is a segment of its own
-            n = (ends - starts)[many]
-            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            s = np.concatenate((starts[one], np.repeat(starts[many], n) + nth))
-            e = np.concatenate((ends[one], np.repeat(starts[many], n) + nth + 1)) + length - 1
-            r = np.concatenate((row[one], np.repeat(row[many], n)))
-            content = np.zeros(len(s), np.uint64)
-            for i, j in steps(off):
-                a, z = np.searchsorted(r, [i, j]) if not many.any() else (None, None)
-                pick = slice(a, z) if a is not None else (r >= i) & (r < j)
-                content[pick] = range_hashes(prefix_sums(data[off[i]:off[j]]), s[pick] - off[i], e[pick] - off[i])
-            key_hash = np.concatenate((different[which[one]], content[one.sum():]))
-            # equal segments once; their smallest document, and all their places, its own first
-            doc = ids[r]
-            by = np.lexsort((doc, e - s, content, key_hash))
-            same = np.ones(len(by), bool)
-            same[1:] = ((key_hash[by[1:]] != key_hash[by[:-1]]) | (content[by[1:]] != content[by[:-1]]) | ((e - s)[by[1:]] != (e - s)[by[:-1]]))
-            lead = np.flatnonzero(same)
-            group = np.cumsum(same) - 1
-            least = doc[by[lead]]
-            count = np.diff([*lead, len(by)])
-            of_least = np.bincount(group, doc[by] == least[group]).astype(np.int64)
-            seg = by[lead]
-            dealt = _dealt(_mixed(key_hash[seg] + np.uint64(1)), segment_buckets)
-            deal, deals = _by_bucket(dealt)
-            place_at = np.concatenate(([0], np.cumsum(count)))
-            raw = data.tobytes()
-            for b, a, z in deals:
-                pick = deal[a:z]
-                rows_of = np.concatenate([by[place_at[g]:place_at[g + 1]] for g in pick])
-                joined = b"".join([raw[x:y] for x, y in zip(s[seg[pick]].tolist(), e[seg[pick]].tolist())])
-                for c, v in zip(names, (b, block, zstandard.ZstdCompressor(level=1).compress(joined), (e - s)[seg[pick]].astype("<u4").tobytes(),
-                                        (key_hash[seg[pick]] >> np.uint64(16)).astype("<u4").tobytes(), least[pick].astype("<i8").tobytes(),
-                                        count[pick].astype("<u4").tobytes(), of_least[pick].astype("<u4").tobytes(),
-                                        r[rows_of].astype("<u4").tobytes(), (s - off[r])[rows_of].astype("<u4").tobytes())):
-                    out[c].append(v)
-        return pa.table([pa.array(out[c], pa.int32() if c in ("bucket", "block") else pa.binary()) for c in names], names)
+        if not state.any():
+            return pa.table([pa.array([], pa.int32() if c in ("bucket", "block") else pa.binary()) for c in names], names)
+        one, many = state == 1, state == 2
+        # under very common hashes every window is a segment of its own
+        n = (ends - starts)[many]
+        single, single_row = _ranges(starts[many], n), np.repeat(row[many], n)
+        s = np.concatenate((starts[one], single))
+        e = np.concatenate((ends[one], single + 1)) + length - 1
+        r = np.concatenate((row[one], single_row))
+        alone = np.zeros(len(single), np.uint64)
+        for i, j in steps(off) if len(single) else ():
+            pick = slice(*np.searchsorted(single_row, [i, j]))
+            alone[pick] = range_hashes(prefix_sums(data[off[i]:off[j]]), single[pick] - off[i], single[pick] - off[i] + length)
+        content, key_hash = np.concatenate((content[one], alone)), np.concatenate((different[which[one]], alone))
+        # equal segments once; their smallest document, and all their places, its own first
+        # (of either kind they are in the order of the documents, which the sort keeps)
+        doc = ids[r]
+        ordered = np.concatenate((_ordered(which[one], content[:one.sum()]), (alone >> np.uint64(1)) | np.uint64(1 << 63)))
+        by = np.argsort(ordered, kind="stable")
+        same = np.ones(len(by), bool)
+        same[1:] = (ordered[by[1:]] != ordered[by[:-1]]) | (content[by[1:]] != content[by[:-1]]) | ((e - s)[by[1:]] != (e - s)[by[:-1]])
+        lead = np.flatnonzero(same)
+        group = np.cumsum(same) - 1
+        least = doc[by[lead]]
+        count = np.diff([*lead, len(by)])
+        of_least = np.bincount(group, doc[by] == least[group]).astype(np.int64)
+        deal, deals = _by_bucket(_dealt(_mixed(key_hash[by[lead]] + np.uint64(1)), segment_buckets))
+        cuts = _cuts(deals)
+        seg, count = by[lead[deal]], count[deal]
+        place = by[_ranges(lead[deal], count)]
+        place_cuts = np.concatenate(([0], np.cumsum(count)))[cuts]
+        raw, pack = data.tobytes(), zstandard.ZstdCompressor(level=1)
+        from_, to = s[seg], e[seg]
+        joined = [pack.compress(b"".join([raw[x:y] for x, y in zip(from_[a:z].tolist(), to[a:z].tolist())])) for _, a, z in deals]
+        return pa.table([pa.array([b for b, _, _ in deals], pa.int32()), pa.array([block] * len(deals), pa.int32()), pa.array(joined, pa.binary()),
+                         _cut_up((to - from_).astype("<u4"), cuts), _cut_up((key_hash[seg] >> np.uint64(16)).astype("<u4"), cuts),
+                         _cut_up(least[deal].astype("<i8"), cuts), _cut_up(count.astype("<u4"), cuts), _cut_up(of_least[deal].astype("<u4"), cuts),
+                         _cut_up(r[place].astype("<u4"), place_cuts), _cut_up((s - off[r])[place].astype("<u4"), place_cuts)], names)
     return run
 
 
@@ -323,18 +347,48 @@ def first_holders(data: np.ndarray, sizes: np.ndarray, least: np.ndarray, length
     return out[np.arange(len(data)) + own]
 
 
+def shared_ranges(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String, start and end of each part of the strings in ``data`` whose
+    windows of ``length`` bytes all have a hash that another window has too,
+    as long as can be. No window that occurs twice lies outside of them."""
+    ends = np.cumsum(sizes)
+    windows = np.maximum(sizes - length + 1, 0)
+    own = np.repeat(np.arange(len(sizes)), windows)
+    at = _ranges(ends - sizes, windows)
+    h = range_hashes(prefix_sums(data), at, at + length)
+    by = np.argsort(h)
+    equal = h[by[1:]] == h[by[:-1]]
+    shared = np.zeros(len(h), bool)
+    shared[by[1:]] |= equal
+    shared[by[:-1]] |= equal
+    own, at = own[shared], at[shared]
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (own[1:] != own[:-1])
+    return own[new], at[new], at[np.append(new[1:], np.ones(min(len(at), 1), bool))] + length
+
+
+def _apart(group: np.ndarray, size: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Ranges of neighbouring strings of about ``limit`` bytes that part no group."""
+    if not len(group):
+        return []
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    part = (np.cumsum(size) - size)[first] // limit
+    cuts = first[np.flatnonzero(np.diff(part, prepend=-1))]
+    return list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(group)]))
+
+
 def _judge(length: int, shard_bytes: int):
     def run(key, table):
-        cols = {c: table.column(c).to_pylist() for c in ("bytes", "sizes", "tags", "least", "places", "leasts", "rows", "starts")}
-        read = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in cols[c]])
+        read = lambda c, t: flat(table.column(c))[0].view(t)
         sizes, tags, least = read("sizes", "<u4").astype(np.int64), read("tags", "<u4"), read("least", "<i8")
         places, leasts = read("places", "<u4").astype(np.int64), read("leasts", "<u4").astype(np.int64)
-        raw = b"".join(map(zstandard.ZstdDecompressor().decompress, cols["bytes"]))
+        unpack = zstandard.ZstdDecompressor()
+        raw = b"".join(map(unpack.decompress, table.column("bytes").to_pylist()))
         # equal segments of different blocks
-        number: dict[bytes, int] = {}
-        ends = np.cumsum(sizes)
-        same = np.fromiter((number.setdefault(raw[a:z], len(number)) for a, z in zip((ends - sizes).tolist(), ends.tolist())), np.int64, len(sizes))
-        strings = list(number)
+        cuts = np.concatenate(([0], np.cumsum(sizes)))
+        numbered = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
+        same, strings = numbered.indices.to_numpy().astype(np.int64), numbered.dictionary
+        del raw, numbered
         lowest = np.full(len(strings), _LAST)
         np.minimum.at(lowest, same, least)
         tag = np.zeros(len(strings), np.uint32)
@@ -342,22 +396,32 @@ def _judge(length: int, shard_bytes: int):
         # those that share their hash with another one go to the merge
         _, which, n = np.unique(tag, return_inverse=True, return_counts=True)
         others = np.flatnonzero(n[which] > 1)
-        run_of, run_from, run_to = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(others):
-            size = np.array([len(strings[i]) for i in others], np.int64)
-            data = np.frombuffer(b"".join(strings[i] for i in others), np.uint8)
-            holder = first_holders(data, size, lowest[others], length, shard_bytes)
-            own = np.repeat(np.arange(len(others)), size)
-            place = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
-            taken = (place <= size[own] - length) & (holder < lowest[others][own])
-            a = np.flatnonzero(taken & ~np.concatenate(([False], taken[:-1] & (own[1:] == own[:-1]))))
-            z = np.flatnonzero(taken & ~np.concatenate((taken[1:] & (own[1:] == own[:-1]), [False])))
-            run_of, run_from, run_to = others[own[a]], place[a], place[z] + length
+        others = others[np.argsort(which[others], kind="stable")]
+        size = pc.binary_length(strings).to_numpy()[others]
+        found = [(np.zeros(0, np.int64),) * 3]
+        for i, j in _apart(which[others], size, 4 * shard_bytes):
+            data = np.frombuffer(b"".join(strings.take(pa.array(others[i:j])).to_pylist()), np.uint8)
+            own, start, end = shared_ranges(data, size[i:j], length)
+            if not len(own):
+                continue
+            ranges = end - start
+            holder = first_holders(data[_ranges(start, ranges)], ranges, lowest[others[i:j]][own], length, shard_bytes)
+            of = np.repeat(np.arange(len(own)), ranges)
+            place = _ranges(np.zeros(len(own), np.int64), ranges)
+            taken = (place <= ranges[of] - length) & (holder < lowest[others[i:j]][own[of]])
+            new = np.concatenate(([True], of[1:] != of[:-1]))
+            a = np.flatnonzero(taken & (new | ~np.concatenate(([False], taken[:-1]))))
+            z = np.flatnonzero(taken & (np.append(new[1:], True) | ~np.append(taken[1:], False)))
+            first = start - (np.cumsum(size[i:j]) - size[i:j])[own]
+            found.append((others[i:j][own[of[a]]], first[of[a]] + place[a], first[of[a]] + place[z] + length))
+        run_of, run_from, run_to = (np.concatenate(x) for x in zip(*found))
+        by = np.argsort(run_of, kind="stable")
+        run_of, run_from, run_to = run_of[by], run_from[by], run_to[by]
         # places of each segment: all of it goes, but in its first document only what others have before
-        first = np.arange(places.sum()) - np.repeat(np.cumsum(places) - places, places) < np.repeat(leasts, places)
+        first = _ranges(np.zeros(len(places), np.int64), places) < np.repeat(leasts, places)
         seg = np.repeat(np.arange(len(sizes)), places)
         rows, starts = read("rows", "<u4").astype(np.int64), read("starts", "<u4").astype(np.int64)
-        per_block = np.array([len(x) // 4 for x in cols["sizes"]], np.int64)
+        per_block = np.diff(flat(table.column("sizes"))[1]) // 4
         block_no = np.repeat(np.arange(len(per_block)), per_block)[seg]
         whole = (least > lowest[same])[seg] | ~first
         got = [(block_no[whole], rows[whole], starts[whole], starts[whole] + sizes[seg[whole]])]
@@ -365,15 +429,14 @@ def _judge(length: int, shard_bytes: int):
             run_at = np.searchsorted(run_of, np.arange(len(strings) + 1))
             part = np.flatnonzero(~whole & (np.diff(run_at)[same[seg]] > 0))
             k = np.diff(run_at)[same[seg[part]]]
-            at = np.repeat(run_at[same[seg[part]]], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+            at = _ranges(run_at[same[seg[part]]], k)
             part = np.repeat(part, k)
             got.append((block_no[part], rows[part], starts[part] + run_from[at], starts[part] + run_to[at]))
         b, r, s, e = (np.concatenate(x) for x in zip(*got))
         order, parts = _by_bucket(b)
         names = table.column("block").to_pylist()
-        pack = lambda x, a, z: x[order[a:z]].astype("<u4").tobytes()
         return pa.table({"block": pa.array([names[k] for k, _, _ in parts], pa.int32()),
-                         **{c: pa.array([pack(x, a, z) for _, a, z in parts], pa.binary()) for c, x in (("rows", r), ("starts", s), ("ends", e))}})
+                         **{c: _cut_up(x[order].astype("<u4"), _cuts(parts)) for c, x in (("rows", r), ("starts", s), ("ends", e))}})
     return run
 
 
@@ -381,7 +444,7 @@ def _judge(length: int, shard_bytes: int):
 def _cut(with_text: bool):
     def run(key, table, gone):
         data, off, ids = _gathered(table)
-        read = lambda c: np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, "<u4").astype(np.int64) for x in gone.column(c).to_pylist()]])
+        read = lambda c: flat(gone.column(c))[0].view("<u4").astype(np.int64)
         row = read("rows")
         depth = np.bincount(off[row] + read("starts"), minlength=len(data) + 1) - np.bincount(off[row] + read("ends"), minlength=len(data) + 1)
         removed = np.cumsum(depth[:len(data)]) > 0
@@ -403,14 +466,24 @@ def _cut(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, block_bytes: int = 6 << 20,
-                   shard_bytes: int = 1 << 18, hot: int = 4096, with_text: bool = False) -> DataFrame:
+def sizes_for(size: int) -> tuple[int, int]:
+    """``block_bytes`` and ``hot`` for an input of ``size`` bytes: blocks of 6
+    MB up to 256 of them, then larger up to 12 MB; 4096 segments, or one for
+    each 512 KB up to 16384 (under 2 MB of one bucket)."""
+    return min(max(6 << 20, size // 256), 12 << 20), min(max(4096, size >> 19), 16384)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, block_bytes: int | None = None,
+                   shard_bytes: int = 1 << 18, hot: int | None = None, with_text: bool = False) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256)`` of every row, and
-    ``kept``, the bytes that stay, if asked for. On a large cluster raise
-    ``block_bytes`` with the executors' memory: messages between blocks and
-    buckets get fewer with its square."""
+    ``kept``, the bytes that stay, if asked for. ``block_bytes`` and ``hot``
+    follow the input (``sizes_for``): messages between blocks and buckets get
+    fewer with the square of the former, so on a large cluster raise it with
+    the executors' memory; the latter grows so that a passage is not dealt
+    window by window for the size of the table alone."""
     size = docs.agg(F.sum(F.octet_length(quoted(text_col).cast("string")))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
+    usual = sizes_for(size)
+    blocks, hot = max(1, -(-size // (block_bytes or usual[0]))), usual[1] if hot is None else hot
     buckets, segment_buckets = max(1, blocks // 4), blocks
     text = utf8(f"`{text_col}`")
     placed = docs.select(F.pmod(F.xxhash64(quoted(id_col), F.xxhash64(text)), F.lit(blocks)).cast("int").alias("block"),
